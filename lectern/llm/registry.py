@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import media, mixing
+from lectern.llm import media, mixing, substring
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that an earlier document has."""
+    return substring.dedup(_docs(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ogg round trip of every text."""
     read = media.read_ogg(media.to_ogg(_docs(spark, sf_dir)))
@@ -49,6 +54,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_media_columns, op6_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op5_media_columns, op6_mixing)
 }
 SQL = {"op6_mixing": OP6_SQL}
