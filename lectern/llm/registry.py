@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import media, mixing, substring
+from lectern.llm import jaccard, media, mixing, substring
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", F.col("mix_copy").cast("int").alias("mix_copy"), "mix_order")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked at a Jaccard similarity of 0.8 on five-word shingles."""
+    return jaccard.join(_docs(spark, sf_dir))[0]
+
+
 OP6_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (
@@ -54,6 +59,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op5_media_columns, op6_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op5_media_columns, op6_mixing, op9_ngram_jaccard)
 }
 SQL = {"op6_mixing": OP6_SQL}
