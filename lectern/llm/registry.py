@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import jaccard, media, mixing, substring
+from lectern.llm import jaccard, media, mixing, phrases, substring
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(_docs(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents in windows of 10 words of a benchmark item."""
+    return phrases.contamination(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ogg round trip of every text."""
     read = media.read_ogg(media.to_ogg(_docs(spark, sf_dir)))
@@ -59,6 +64,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op5_media_columns, op6_mixing, op9_ngram_jaccard)
+    f.__name__: f for f in (op1_substring_dedup, op3_decontamination, op5_media_columns, op6_mixing, op9_ngram_jaccard)
 }
 SQL = {"op6_mixing": OP6_SQL}
