@@ -241,13 +241,13 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
     everywhere = stored(texts.mapInArrow(_passages(window, anchor), _PASSAGES))
     found = stored(shared(everywhere))
     drop(everywhere)
-    hot = distinct(found).groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("held")).where(F.col("held") > HOT_WORDS).select("anchor")
-    hot = stored(hot)
+    one = stored(distinct(found))
+    hot = stored(one.groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("held")).where(F.col("held") > HOT_WORDS).select("anchor"))
     if not hot.isEmpty():
         split = with_texts(found.join(hot, "anchor", "left_semi"), ("start", "n", "passage"))
-        split = shared(stored(split.mapInArrow(_windows(window), _PASSAGES)))
-        found = stored(found.join(hot, "anchor", "left_anti").unionByName(split))
-    one = stored(distinct(found))
+        split = stored(shared(stored(split.mapInArrow(_windows(window), _PASSAGES))))
+        found = found.join(hot, "anchor", "left_anti").unionByName(split)
+        one = stored(one.join(hot, "anchor", "left_anti").unionByName(distinct(split)))
     held = one.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     bodies = with_texts(one, ("start", "n", "anchor", "passage")).mapInArrow(_cut(window), "anchor long, passage long, n int, id long, body binary")
     shards = max(1, -(-held // SHARD_WORDS))
