@@ -146,24 +146,24 @@ def _matches(queries, slop: int):
     """For each document of a shard: its words, and the matches as (start, words, item)."""
 
     def run(batches):
-        q = queries.value
+        names, grams, items_of = queries.value
         for b in batches:
             for x in b.to_pylist():
                 shard = Shard(x["first"], x["terms"], x["lists"], x["gaps"])
                 n = len(shard.first) - 1
                 starts, sizes, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for size, windows in q.windows.items():
+                for size, windows in grams.items():
                     which, start = shard.find(windows, slop)
-                    count = np.array([len(q.items[size][k]) for k in which], np.int64)
+                    count = np.array([len(items_of[size][k]) for k in which], np.int64)
                     starts.append(np.repeat(start, count))
                     sizes.append(np.full(count.sum(), size))
-                    items.append(np.concatenate([np.zeros(0, np.int64), *(q.items[size][k] for k in which)]))
+                    items.append(np.concatenate([np.zeros(0, np.int64), *(items_of[size][k] for k in which)]))
                 start, size, item = map(np.concatenate, (starts, sizes, items))
                 row = np.clip(np.searchsorted(shard.first, start, "right") - 1, 0, max(0, n - 1))
                 order = np.lexsort((start, row))
                 start, size, item, row = start[order], size[order], item[order], row[order]
-                names = pa.array(q.names, pa.string()).take(pa.array(item))
-                match = pa.StructArray.from_arrays([pa.array((start - shard.first[row]).astype(np.int32)), pa.array(size.astype(np.int32)), names], ["at", "size", "item"])
+                named = pa.array(names, pa.string()).take(pa.array(item))
+                match = pa.StructArray.from_arrays([pa.array((start - shard.first[row]).astype(np.int32)), pa.array(size.astype(np.int32)), named], ["at", "size", "item"])
                 null = np.unpackbits(np.frombuffer(x["null_ids"], np.uint8), count=n).astype(bool)
                 yield pa.record_batch({
                     "shard": pa.array(np.full(n, x["shard"])),
@@ -192,7 +192,7 @@ def search(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 0, i
         part = named if blocks == 1 else named.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
         queries = Queries([tuple(x) for x in part.toLocalIterator()], window)
         index = build(docs, queries.terms, id_col, text_col)
-        found = index.mapInArrow(_matches(spark.sparkContext.broadcast(queries), slop), "shard long, row long, id long, n_words long, matches array<struct<at:int,size:int,item:string>>")
+        found = index.mapInArrow(_matches(spark.sparkContext.broadcast((queries.names, queries.windows, queries.items)), slop), "shard long, row long, id long, n_words long, matches array<struct<at:int,size:int,item:string>>")
         out = found if out is None else out.unionByName(found)
     if blocks > 1:
         out = out.groupBy("shard", "row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))

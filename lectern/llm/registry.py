@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import jaccard, media, mixing, phrases, substring
+from lectern.llm import brown, jaccard, media, mixing, phrases, substring
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.contamination(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brown class bigrams learnt from the texts whose crc32(doc_id) mod 7 is not 2."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return brown.score(_docs(spark, sf_dir), rest == 2)
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ogg round trip of every text."""
     read = media.read_ogg(media.to_ogg(_docs(spark, sf_dir)))
@@ -64,6 +70,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_decontamination, op5_media_columns, op6_mixing, op9_ngram_jaccard)
+    f.__name__: f for f in (op1_substring_dedup, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op9_ngram_jaccard)
 }
 SQL = {"op6_mixing": OP6_SQL}
