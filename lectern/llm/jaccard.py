@@ -126,17 +126,29 @@ def _within(percent: int):
 
     def run(batches):
         for b in batches:
-            keep = []
-            for n, m, x, y in zip(*(b.column(k).to_pylist() for k in ("n", "m", "x", "y")), strict=True):
-                size = min(len(x), len(y))
-                x, y = folded([x, y], size)
-                apart = int(np.bitwise_count(x ^ y).sum())
-                keep.append(possible(n, m, apart, percent))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n, m = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("n", "m"))
+            maps = b.column("x").to_pylist() + b.column("y").to_pylist()
+            at = np.arange(len(b))
+            yield b.select(["a", "b"]).filter(pa.array(possible(n, m, distances(maps, at, at + len(b)), percent), pa.bool_()))
 
     return run
 
 
+def distances(maps: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of maps[a[i]] and maps[b[i]], the larger folded to the size of the smaller."""
+    sizes = np.array([len(m) for m in maps], np.int64)
+    least = np.minimum(sizes[a], sizes[b]) if len(a) else np.zeros(0, np.int64)
+    out = np.zeros(len(a), np.int64)
+    for size in np.unique(least):
+        pairs = np.flatnonzero(least == size)
+        used, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        rows = folded([maps[i] for i in used], int(size))
+        left, right = at[: len(pairs)], at[len(pairs) :]
+        for i in range(0, len(pairs), 50_000):
+            out[pairs[i : i + 50_000]] = np.bitwise_count(rows[left[i : i + 50_000]] ^ rows[right[i : i + 50_000]]).sum(axis=1)
+    return out
+
+
 def possible(n, m, apart, percent: int):
     """Whether sets of n and m shingles that differ by ``apart`` or more may be similar enough."""
     most = (n + m - apart) // 2
@@ -161,25 +173,48 @@ def _exact(size: int, percent: int):
 
 
 def _tiles(percent: int):
-    """Pairs of different groups within each tile that the bit counts allow. Rows of a tile come together."""
-
-    def pairs(rows):
-        left, right = rows[rows.side != 1], rows[rows.side != 0]
-        size = int(rows.bits.map(len).min())
-        x, y = folded(list(left.bits), size), folded(list(right.bits), size)
-        rn, rg, rid = right.n.to_numpy(), right.root.to_numpy(), right.node.to_numpy()
-        for i, (n, g, a) in enumerate(zip(left.n, left.root, left.node, strict=True)):
-            fit = np.flatnonzero((rg != g) & (100 * np.minimum(rn, n) >= percent * np.maximum(rn, n)))
-            if len(fit):
-                apart = np.bitwise_count(y[fit] ^ x[i]).sum(axis=1).astype(np.int64)
-                fit = fit[possible(n, rn[fit].astype(np.int64), apart, percent)]
-                for b in rid[fit].tolist():
-                    yield (min(a, b), max(a, b))
-
-    def run(frame):
-        import pandas as pd
-
-        return pd.DataFrame(list(dict.fromkeys(pairs(frame))), columns=["a", "b"]).astype("int64")
+    """Pairs of different groups within each block of a tile that the bit counts allow.
+
+    The rows of a block follow each other; at most 2 * TILE rows and a batch are held.
+    """
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        key, p, q, node, root, n, side = (rows.column(k).to_numpy() for k in ("key", "p", "q", "node", "root", "n", "side"))
+        new = np.append(True, (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1]))
+        end = np.append(np.flatnonzero(new)[1:], len(key))[np.cumsum(new) - 1]
+        kinds, first_of = np.unique(node, return_index=True)
+        index = np.searchsorted(kinds, node)
+        fit = []
+        cut = np.cumsum(end - np.arange(len(key)) - 1)
+        edges = np.searchsorted(cut, np.arange(0, (cut[-1] if len(cut) else 0) + 2_000_000, 2_000_000), "right")
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            j, i = W.runs(np.arange(lo, hi) + 1, end[lo:hi])
+            i = i + lo
+            keep = (root[i] != root[j]) & (side[i] + side[j] != 0) & ((side[i] != 1) | (side[j] != 1))
+            keep &= 100 * np.minimum(n[i], n[j]).astype(np.int64) >= percent * np.maximum(n[i], n[j]).astype(np.int64)
+            i, j = index[i[keep]], index[j[keep]]
+            fit.append(np.unique(np.minimum(i, j) * len(kinds) + np.maximum(i, j)))
+        code = np.unique(np.concatenate([np.zeros(0, np.int64), *fit]))
+        a, b = code // max(1, len(kinds)), code % max(1, len(kinds))
+        count = n[first_of].astype(np.int64)
+        maps = rows.column("bits").take(pa.array(first_of)).to_pylist()
+        keep = possible(count[a], count[b], distances(maps, a, b), percent)
+        return pa.record_batch({"a": pa.array(kinds[a[keep]]), "b": pa.array(kinds[b[keep]])})
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not len(held):
+                continue
+            key, p, q = (held.column(k).to_numpy() for k in ("key", "p", "q"))
+            last = np.flatnonzero((key != key[-1]) | (p != p[-1]) | (q != q[-1]))
+            whole = int(last[-1]) + 1 if len(last) else 0
+            if whole:
+                yield pairs(held.slice(0, whole).combine_chunks())
+                held = held.slice(whole)
+        if held is not None and len(held):
+            yield pairs(held.combine_chunks())
 
     return run
 
@@ -234,7 +269,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     links = None
     roots = None
     left = tiles
-    for pivot in (F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node"))):
+    for pivot in (F.min("node"), F.max("node")):
         pivots = left.groupBy("key").agg(pivot.alias("pivot"))
         pairs = left.join(pivots, "key").where("node <> pivot")
         if roots is not None:
@@ -257,7 +292,8 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
         dealt = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
         dealt = dealt.select("key", "node", "root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.expr("CASE WHEN part = other THEN 2 WHEN part < other THEN 0 ELSE 1 END").alias("side"))
         blocks = dealt.join(bits, "node")
-        rest = blocks.groupBy("key", "p", "q").applyInPandas(_tiles(percent), "a long, b long").distinct()
+        near = blocks.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+        rest = near.select("key", "p", "q", "node", "root", "n", "side", "bits").mapInArrow(_tiles(percent), "a long, b long").distinct()
         new = stored(linked(rest))
         links = links.unionByName(new)
         if not new.isEmpty():
