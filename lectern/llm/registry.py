@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import brown, jaccard, media, mixing, phrases, substring
+from lectern.llm import brown, jaccard, language, media, mixing, phrases, substring
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(_docs(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learnt from the rows whose crc32(doc_id) mod 5 is not 0."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    return language.identify(_docs(spark, sf_dir), rest == 0)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents in windows of 10 words of a benchmark item."""
     return phrases.contamination(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -70,6 +76,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op9_ngram_jaccard)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op9_ngram_jaccard)
 }
 SQL = {"op6_mixing": OP6_SQL}
