@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import brown, jaccard, language, media, mixing, phrases, substring
+from lectern.llm import brown, jaccard, language, media, mixing, phrases, quality, substring, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +48,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", F.col("mix_copy").cast("int").alias("mix_copy"), "mix_order")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label quality scores of all documents."""
+    return quality.classify(_docs(spark, sf_dir)).select("doc_id", "quality_score", "quality_keep")
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked at a Jaccard similarity of 0.8 on five-word shingles."""
     return jaccard.join(_docs(spark, sf_dir))[0]
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text under the default vocabulary."""
+    return tokens.count(_docs(spark, sf_dir))
+
+
 OP6_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (
@@ -76,6 +86,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op9_ngram_jaccard)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op8_quality, op9_ngram_jaccard, op10_token_counts)
 }
 SQL = {"op6_mixing": OP6_SQL}
