@@ -1,8 +1,72 @@
-"""Stages of a training-data pipeline over documents."""
+"""A training-data pipeline over ``documents``: five stages, each written as Parquet and read again for the next.
 
-STAGES = []
+Quality classifier, n-gram Jaccard join, benchmark decontamination, secret scans, mixing.
+Each stage works on all rows that the one before kept; all but the last return the
+columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lectern.llm import jaccard, mixing, phrases, quality, secrets
+from lectern.llm.tables import stored
+
+
+def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier, fitted on docs, does not reject."""
+    return quality.classify(docs).where("quality_keep").select(docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least doc_id, of each group linked at 0.8; all rows without a doc_id stay.
+
+    Repeated rows of one doc_id are one document: one of them stays.
+    """
+    groups, _ = jaccard.join(docs)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents none of whose words lie in a window of a benchmark item."""
+    found = phrases.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.where("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with each secret in their texts replaced by a mark; n_chars follows."""
+    clean = secrets.scan(docs)
+    change = F.size("secrets") > 0
+    changed = {"text": F.when(change, F.col("redacted")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(change, F.length("redacted").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return clean.withColumns(changed).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that all sources weigh alike, in an order that mixes them."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality", by_quality),
+    ("near_duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("mixing", mixed),
+]
+
+#: No SQL: the first stages fit models.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs)
+    return docs

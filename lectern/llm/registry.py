@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import brown, jaccard, language, media, mixing, phrases, quality, substring, tokens
+from lectern.llm import brown, jaccard, language, media, mixing, phrases, quality, secrets, substring, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "text", F.col("mix_copy").cast("int").alias("mix_copy"), "mix_order")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, by a forest trained on made findings."""
+    return secrets.report(_docs(spark, sf_dir))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak-label quality scores of all documents."""
     return quality.classify(_docs(spark, sf_dir)).select("doc_id", "quality_score", "quality_keep")
@@ -86,6 +91,6 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op8_quality, op9_ngram_jaccard, op10_token_counts)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op7_secret_scans, op8_quality, op9_ngram_jaccard, op10_token_counts)
 }
 SQL = {"op6_mixing": OP6_SQL}
