@@ -28,6 +28,8 @@ from lectern.llm.tables import drop, stored
 BLOCK = 3
 #: Sets below this size have about one shingle in a range, since few ranges vary much in number.
 SMALL = 256
+#: Bits for each shingle at the top of a band; with more, differing shingles seldom meet in one bit and the bound is tighter.
+SPREAD = 4
 #: Documents in one side of a block of pairs.
 TILE = 1024
 
@@ -76,8 +78,8 @@ def keys(x: np.ndarray, at: int, percent: int) -> np.ndarray:
 
 
 def bitmap(x: np.ndarray, at: int) -> bytes:
-    """Bit i: whether an odd number of shingles has hash i modulo 2**(band + 1), at least 64 bits."""
-    bits = max(64, 2 << at)
+    """Bit i: whether an odd number of shingles has hash i modulo SPREAD * 2**(band + 1)."""
+    bits = max(64, SPREAD * 2 << at)
     odd = (np.bincount((W.mixed(x) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)
     return np.packbits(odd).tobytes()
 
