@@ -23,8 +23,10 @@ def scored(rows: DataFrame) -> DataFrame:
 
 def summary(rows: DataFrame, file_col: str = "file") -> DataFrame:
     """Count and mean metrics per file and, in the row whose file is null, over all rows; 0 where there are none."""
-    means = [F.coalesce(F.avg(m), F.lit(0.0)).alias(m) for m in METRICS]
-    return rows.rollup(file_col).agg(F.count("*").alias("count"), *means)
+    parts = rows.groupBy(F.col(file_col).alias("file")).agg(F.count("*").alias("count"), *[F.sum(m).alias(m) for m in METRICS])
+    total = parts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"), *[F.sum(m).alias(m) for m in METRICS]).withColumn("file", F.lit(None).cast("string"))
+    both = parts.withColumn("file", F.col("file").cast("string")).unionByName(total)
+    return both.select("file", "count", *[F.coalesce(F.try_divide(m, "count"), F.lit(0.0)).alias(m) for m in METRICS])
 
 
 def pending(rows: DataFrame, done: DataFrame, id_col: str = "id") -> DataFrame:
