@@ -33,7 +33,8 @@ SPREAD = 4
 #: Documents in one side of a block of pairs.
 TILE = 1024
 
-NO_ID = (1 << 63) - 1
+#: Stand-ins for null ids lie above this, one for each text.
+NO_ID = (1 << 63) - (1 << 41)
 
 
 def shingle_sets(data, bounds, size: int) -> list[np.ndarray]:
@@ -231,12 +232,14 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     Sets are those of ``size``-word shingles of the text in lower case (A-Z); texts of fewer words are
     one shingle, and null or empty ones, or without words, have none and link with nothing: their
     component is their own id. Two documents link when 100 * shared >= percent * all shingles.
-    Ids are integers; rows of one id are one document and share a component, null ids likewise (their
-    component is null unless they link with a document that has an id).
+    Ids are integers; rows of one id are one document and share a component. Rows without an id count
+    as one document where their texts are equal; their component is null unless it has an id.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent is over 50 and at most 100")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 40))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("id"), text.alias("text"))
     sets = stored(rows.mapInArrow(_sets(size, percent), "id long, n int, s1 long, s2 long, bits binary, keys array<long>"))
     nodes = sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("node"))
     members = stored(sets.select("id", "n", "s1", "s2").join(nodes, ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("node", "id").alias("node")))
@@ -245,6 +248,8 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     shared = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     found = stored(postings.join(shared, "key"))
     to_node = members.where("n > 0").select("id", "node").distinct()
+    many = to_node.groupBy("id").agg(F.min("node").alias("a"), F.count("*").alias("c")).where("c > 1")
+    same_id = to_node.join(many, "id").where("node <> a").select("a", F.col("node").alias("b"))
     by_node = found.join(to_node, "id").select("key", "node").distinct()
     several = by_node.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     tiles = stored(by_node.join(several, "key"))
@@ -280,7 +285,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
         pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         new = stored(linked(bounded(pairs)))
         links = new if links is None else links.unionByName(new)
-        roots = stars(new if roots is None else new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        roots = stars(new.unionByName(same_id) if roots is None else new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         of_groups = grouped(tiles, roots)
         open_ = of_groups.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         left = stored(of_groups.join(open_, "key"))
@@ -301,5 +306,5 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
         if not new.isEmpty():
             roots = stars(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     kind = docs.schema[id_col].dataType.simpleString()
-    named = grouped(members, roots).select(F.expr(f"nullif(id, {NO_ID})").cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.expr(f"nullif(root, {NO_ID})").cast(kind).alias("component_id"))
+    named = grouped(members, roots).select(F.when(F.col("id") < NO_ID, F.col("id")).cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("root") < NO_ID, F.col("root")).cast(kind).alias("component_id"))
     return named, links

@@ -1,0 +1,466 @@
+"""Each operator against a plain version of its rules, on small tables with nulls, empty texts, ties and repeats."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import brown, fmindex, graph, jaccard, language, media, mixing, phrases, quality, secrets, substring, tokens
+from lectern.llm import words as W
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def corpus(seed=1):
+    """Passages shared by documents, copies, near copies, repeats of a word, nulls, empty and odd texts."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(3000)]
+    some = lambda n: [rng.choice(vocab) for _ in range(n)]
+    passage, out = some(70), []
+    for k in range(60):
+        t = some(rng.randrange(1, 160))
+        if k % 3 == 0:
+            at = rng.randrange(len(t))
+            t = t[:at] + passage + t[at:]
+        out.append(" ".join(t))
+        if k % 5 == 0:
+            out.append(" ".join(t))
+        if k % 7 == 0:
+            out.append("\t".join(t[:-1]) + "\n")
+    out += ["", None, "a b", "A B", "a b", "x " * 900, "x " * 400, "x x x x x", "é ü 漢字 ß", " \n ", "y" * 5000]
+    rows = list(enumerate(out))
+    rng.shuffle(rows)
+    return rows
+
+
+def table(spark, rows, extra=""):
+    return spark.createDataFrame(rows, "doc_id long, text string" + extra).repartition(3)
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+
+
+# ---- words
+
+
+@pytest.mark.parametrize("kind, pattern", [(W.not_space(), SPACED), (W.alphanumeric(), ALNUM)])
+def test_words(kind, pattern):
+    texts = ["a b", "", " ", "é漢 x9-Z", "tail ", "\x0b\x1fq"]
+    data = np.frombuffer("".join(texts).translate(LOWER).encode(), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    words = W.split(data, bounds, kind)
+    got = [[bytes(data[words.starts[i] : words.ends[i]]).decode() for i in range(words.first[r], words.first[r + 1])] for r in range(len(texts))]
+    assert got == [pattern.findall(t.translate(LOWER)) for t in texts]
+    by_word = {}
+    for i, h in enumerate(words.hashes):
+        assert by_word.setdefault(bytes(data[words.starts[i] : words.ends[i]]), h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+# ---- 1
+
+
+def removed(rows, window=50):
+    first, words = {}, {}
+    rank = lambda i: math.inf if i is None else i
+    for n, (i, t) in enumerate(rows):
+        words[n] = SPACED.findall(t or "")
+        for k in range(len(words[n]) - window + 1):
+            key = tuple(words[n][k : k + window])
+            first[key] = min(first.get(key, math.inf), rank(i))
+    out = []
+    for n, (i, _) in enumerate(rows):
+        w = words[n]
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if first[tuple(w[k : k + window])] < rank(i):
+                gone[k : k + window] = [True] * window
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("hot", [100_000, 50])
+def test_substring(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT_WORDS", hot)
+    monkeypatch.setattr(substring, "SHARD_WORDS", 2000)
+    rows = corpus()
+    rows += [(None, rows[0][1]), (3, rows[5][1]), rows[2]]  # a null id, an id of two texts, a repeated row
+    got = substring.dedup(table(spark, rows))
+    assert sorted(map(tuple, got.drop("kept").collect()), key=repr) == removed(rows)
+    assert substring.dedup(empty(spark)).count() == 0
+
+
+def test_fm_index_counts_by_backward_search():
+    rng = np.random.default_rng(3)
+    sequence = np.append(rng.integers(1, 4, 300), 0)
+    index = fmindex.FMIndex(sequence, 5)
+    least = index.least(np.arange(len(sequence)))
+    got = {}
+    for _, at, group in index.matches(sequence, np.array([0]), np.array([300])):
+        got[int(at[0])] = int(least[group[0]])
+    for i in range(296):
+        assert got[i] == next(j for j in range(i + 1) if (sequence[j : j + 5] == sequence[i : i + 5]).all())
+
+
+# ---- 2
+
+
+def test_cross_parsing_counts_longest_matches():
+    rng = random.Random(3)
+    samples = {"a": "".join(rng.choice("abc ") for _ in range(300)), "b": "".join(rng.choice("bcde ") for _ in range(300))}
+    model = language.tables(samples)
+    column = {chr(c): i for i, c in enumerate(model["codes"])}
+    texts = ["".join(rng.choice("abcdexyz ") for _ in range(rng.randrange(60))) for _ in range(200)]
+
+    def plain(sample, text):
+        n = i = 0
+        while i < len(text):
+            j = i + 1
+            while j <= len(text) and text[i:j] in sample:
+                j += 1
+            i, n = max(i + 1, j - 1), n + 1
+        return n
+
+    size = np.array([len(t) for t in texts])
+    got = language.phrases(model, np.array([column.get(c, len(column)) for c in "".join(texts)], np.int64), size, np.cumsum(size) - size)
+    assert got.tolist() == [[plain(samples[k], t) for t in texts] for k in "ab"]
+
+
+def test_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = language.identify(docs, held).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got)
+    odd = spark.createDataFrame([(1, None, None), (2, "", "en"), (3, "123 !?", "en"), (4, "hello world the cat", "en"), (None, "hello", "en"), (5, "le chat", None)], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in language.identify(odd, F.lit(False)).collect()}
+    assert [rows[i].lang_pred for i in (1, 2, 3, 4, None, 5)] == ["und", "und", "und", "en", "en", "en"]
+    assert all(0 <= r.score <= 1 for r in rows.values())
+    assert language.identify(odd, F.lit(True)).where("lang_pred <> 'und'").count() == 0
+    assert language.identify(empty(spark), F.lit(False)).count() == 0
+
+
+# ---- 3
+
+
+def hits(rows, items, window=10):
+    windows = {}
+    for name, t in items:
+        w = ALNUM.findall((t or "").translate(LOWER))
+        size = min(window, len(w))
+        for k in range(len(w) - size + 1 if w else 0):
+            windows.setdefault(tuple(w[k : k + size]), set()).add("null" if name is None else str(name))
+    sizes = {len(k) for k in windows}
+    out = []
+    for i, t in rows:
+        w = ALNUM.findall((t or "").translate(LOWER))
+        hit, found = [0] * len(w), set()
+        for size in sizes:
+            for k in range(len(w) - size + 1):
+                if s := windows.get(tuple(w[k : k + size])):
+                    found |= s
+                    hit[k : k + size] = [1] * size
+        out.append((i, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), sum(hit) > 0))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block", [1_000_000, 20])
+def test_contamination(spark, monkeypatch, block):
+    monkeypatch.setattr(phrases, "BLOCK_WORDS", block)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", 4000)
+    rows = [*corpus(), (None, "one TWO three"), (1, "Ähnlich one two-three")]
+    items = [(1, " ".join(SPACED.findall(rows[3][1] or "q")[2:30])), (2, "one two"), (2, "three"), (10, None), (11, "--"), (None, "漢字"), (12, "x " * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(tuple, phrases.contamination(docs, bench).collect()), key=repr) == hits(rows, items)
+    assert phrases.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
+    assert phrases.contamination(empty(spark), bench).count() == 0
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha x beta gamma"), (3, "beta y y y y alpha gamma")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    near = lambda slop: {r.id for r in phrases.search(docs, items, slop=slop).where("size(matches) > 0").collect()}
+    assert near(0) == {1} and near(1) == {1, 2} and near(6) == {1, 2, 3}
+
+
+# ---- 4
+
+
+def test_exchange_ends_where_no_move_helps():
+    rng = np.random.default_rng(1)
+    n, dense = 12, rng.integers(0, 5, (14, 14))
+    pairs, counts = np.argwhere(dense > 0), dense[dense > 0].astype(float)
+
+    def likelihood(of):
+        grid = np.zeros((5, 5))
+        np.add.at(grid, (of[pairs[:, 0]], of[pairs[:, 1]]), counts)
+        f = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
+        return f(grid) - f(grid.sum(0)) - f(grid.sum(1))
+
+    start, of = (brown.exchange(pairs, counts, np.arange(n), 3, s) for s in (0, 9))
+    moved = lambda w, c: np.array([c if i == w else x for i, x in enumerate(of)])
+    assert likelihood(of) > likelihood(start)
+    assert all(likelihood(moved(w, c)) <= likelihood(of) + 1e-9 for w in range(n) for c in range(3))
+
+
+def test_scores(spark, monkeypatch):
+    monkeypatch.setattr(brown, "COMMON", 40)
+    monkeypatch.setattr(brown, "VOCABULARY", 20)
+    rows = corpus()
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    got = {r.doc_id: r for r in brown.score(table(spark, rows), held).collect()}
+    split = lambda t: [*SPACED.findall((t or "").translate(LOWER)), None]
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    c = Counter(w for i, t in rows if not out(i) for w in split(t))
+    n, v = sum(c.values()), len(c)
+    for i, t in rows:
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(i), len(split(t)), sum(c[w] > 0 for w in split(t)), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in split(t)))
+        assert r.score < 0
+    assert brown.score(empty(spark), held).count() == 0
+    assert brown.score(table(spark, rows), F.lit(True)).where("n_known > 0").count() == 0
+
+
+def test_model_beats_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = brown.score(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).where("held_out")
+    model, base = got.agg(F.sum("score"), F.sum("base_score")).first()
+    assert model > base
+
+
+# ---- 5
+
+
+def test_page_checksum():
+    def slow(data):
+        crc = 0
+        for b in data:
+            crc ^= b << 24
+            for _ in range(8):
+                crc = (crc << 1 ^ (0x04C11DB7 if crc & 0x80000000 else 0)) & 0xFFFFFFFF
+        return crc
+
+    for data in (b"", b"a", bytes(range(256)) * 3):
+        assert media.page_crc(data) == slow(data)
+
+
+@pytest.mark.parametrize("size", [64, 4096, 65088, 65025 + 63, 300_032])
+def test_ogg_round_trip(size):
+    payload = random.Random(size).randbytes(size)
+    stored = media.encode(payload)
+    got, rate, times = media.decode(stored)
+    assert got == payload and rate == media.RATE and times[-1][0] == size and len(media.demultiplex(stored)) == 2
+    broken = bytearray(stored)
+    broken[len(stored) // 2] ^= 1
+    for bad in (bytes(broken), stored[:-1], stored[:-60], b"x" + stored):
+        with pytest.raises(media.Corrupt):
+            media.decode(bad)
+
+
+def test_packets_longer_than_a_page():
+    writer = media.Writer(7)
+    packets = [b"h", b"a" * 200_000, b"b" * 255, b"", b"c"]
+    pages = [*writer.pages(packets[:1], [0], media.FIRST), *writer.pages(packets[1:], [1, 2, 3, 4], media.LAST)]
+    assert [p for p, _ in media.demultiplex(b"".join(pages))[7]] == packets
+
+
+def test_media_columns(spark):
+    rows = [(1, "abc"), (2, None), (3, ""), (None, "é" * 100), (1, "abc"), (4, "z" * 200_000)]
+    got = media.read_ogg(media.to_ogg(table(spark, rows))).collect()
+    assert len(got) == len(rows) and {r.status for r in got} == {"ok"}
+    for r in got:
+        if r.doc_id != 1 or True:
+            text = next((t or "") for i, t in rows if i == r.doc_id).encode()
+            pad = text.ljust(max(64, -(-len(text) // 64) * 64), b"\0")
+            assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(text), len(pad), hashlib.sha256(pad).hexdigest(), zlib.crc32(pad[-64:]))
+    bad = spark.createDataFrame([(1, 3, bytearray(b"abc")), (2, 0, None)], "doc_id long, n_bytes long, media binary")
+    assert [r.payload_sha256 for r in media.read_ogg(bad).collect()] == [None, None]
+
+
+# ---- 6
+
+
+def test_mixing(spark):
+    rows = [(i, f"t{i}", "big" if i % 3 else "small", i) for i in range(3000)] + [(None, "n", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_copy int")
+    got = mixing.mix(docs, {"big": 1.0, "small": 3.0})
+    counts = {r.source: r["count"] for r in got.groupBy("source").count().collect()}
+    assert None not in counts and abs(counts["small"] / counts["big"] - 3) < 0.3 and abs(sum(counts.values()) - 3001) < 200
+    order = [r.mix_order for r in got.collect()]
+    assert order == sorted(order)
+    again = mixing.mix(docs.repartition(7), {"big": 1.0, "small": 3.0})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
+    assert mixing.mix(empty(spark)).count() == 0 and mixing.mix(docs, {"none": 1.0}).count() == 0
+    assert mixing.mix(docs).where("source IS NULL").count() >= 60  # one row, at the largest rate
+
+
+def test_poisson_cdf(spark):
+    got = spark.range(1).select(mixing.poisson_cdf(F.lit(2.5))).first()[0]
+    assert got[3] == pytest.approx(sum(math.exp(-2.5) * 2.5**k / math.factorial(k) for k in range(4))) and got[-1] == pytest.approx(1)
+
+
+# ---- 7
+
+
+def test_secrets(spark):
+    rng = random.Random(9)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    good, bad = [], []
+    for i in range(60):
+        words = " ".join(rng.choice(["the", "ontiation", "ereing", "und", "schule"]) for _ in range(12))
+        good.append((i, f'{words} token = "{key(40)}" {words}', "src1"))
+        bad.append((100 + i, f"{words} commit {key(40)} {words}" if i % 2 else f"{words} internationalisation{i}ofeverything {words}", "src1"))
+    odd = [(900, None, None), (901, "", "x"), (None, "plain", "x")]
+    docs = spark.createDataFrame(good + bad + odd, "doc_id long, text string, source string").withColumn("secrets", F.lit(1))
+    rows = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    assert all(len(rows[i].secrets) == 1 and secrets.REDACTED in rows[i].redacted for i, *_ in good)
+    assert sum(len(rows[i].secrets) for i, *_ in bad) == 0 and rows[900].redacted is None and rows[901].redacted == ""
+    assert all(rows[i].redacted == t for i, t, _ in bad)
+    assert secrets.report(empty(spark)).count() == 0
+
+
+def test_forest_learns_from_given_findings(spark):
+    rows = [(f"abcdefgh{i}abcdefgh", "see ", "", "", i % 2) for i in range(10)] + secrets.made_findings(400)
+    model = secrets.fit(spark, spark.createDataFrame(rows, "token string, before string, after string, path string, label int"))
+    held = secrets.made_findings(400, seed=77)
+    x = np.array([secrets.describe(t, b, a, p, secrets.dictionary(f"{b} {a}")) for t, b, a, p, _ in held])
+    assert ((secrets.probability(secrets.flat_trees(model), x) >= 0.5) == np.array([y for *_, y in held])).mean() > 0.95
+
+
+# ---- 8
+
+
+def test_em_finds_accuracies():
+    rng = np.random.default_rng(5)
+    truth, accuracy = rng.random(4000) < 0.7, np.array([0.95, 0.9, 0.8, 0.7, 0.6])
+    right = rng.random((4000, 5)) < accuracy
+    votes = np.where(right == truth[:, None], 1, -1)
+    patterns, weights = np.unique(votes, axis=0, return_counts=True)
+    table_, share, good = quality.maximise(patterns, weights.astype(float))
+    assert abs(share - 0.7) < 0.05 and np.abs(table_[1][:, 2] - accuracy).max() < 0.06
+    assert ((good >= 0.5) == (patterns[:, 0] > 0)).mean() > 0.7
+
+
+def test_quality_agrees_with_labels(spark):
+    data = "/root/testdata/sf0.01"
+    got = quality.classify(spark.read.parquet(f"{data}/documents.parquet")).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").collect()
+    kept = [r.quality_keep for r in got if r.quality == 1]
+    gone = [not r.quality_keep for r in got if r.quality == 0]
+    assert sum(kept) >= 0.98 * len(kept) and sum(gone) >= 0.8 * len(gone)
+
+
+def test_quality_of_odd_rows(spark):
+    odd = spark.createDataFrame([(1, None, 1.0), (2, "", 2.0), (None, "x", 3.0), (2, "", 2.0)], "doc_id long, text string, quality_score double")
+    got = quality.classify(odd)
+    assert got.count() == 4 and got.where("quality_score BETWEEN 0 AND 1").count() == 4
+    assert quality.classify(empty(spark)).count() == 0
+
+
+# ---- 9
+
+
+def groups(rows, percent=80):
+    sets = {}
+    for i, t in rows:
+        w = SPACED.findall((t or "").translate(LOWER))
+        sets.setdefault(("text", t) if i is None else i, []).append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    rank = lambda i: (isinstance(i, tuple), i)
+    plain = lambda i: None if isinstance(i, tuple) else i
+    for i in sets:
+        for j in sets:
+            if any(a and 100 * len(a & b) >= percent * len(a | b) for a in sets[i] for b in sets[j]):
+                lo, hi = sorted((root(i), root(j)), key=rank)
+                up[hi] = lo
+    return sorted(((plain(i), len(s), plain(root(i))) for i in sets for s in sets[i]), key=repr)
+
+
+@pytest.mark.parametrize("tile", [1024, 4])
+def test_jaccard(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(2)
+    rows, text = corpus(2), [f"v{rng.randrange(5000)}" for _ in range(150)]
+    for k in range(40):  # a chain: each text a little further from the first
+        text[rng.randrange(len(text))] = f"z{k}"
+        rows.append((1000 + k, " ".join(text)))
+    got, links = jaccard.join(table(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == groups(rows)
+    assert links.where("a >= b").count() == 0
+    assert jaccard.join(empty(spark))[0].count() == 0
+
+
+def test_jaccard_of_repeated_and_null_ids(spark):
+    rows = [(1, "a b c d e f g h"), (1, "other words entirely here now"), (None, "a b c d e f g h"), (2, "other words entirely here now"), (None, "q"), (3, "q"), (None, "alone"), (None, "alone"), (None, None), (5, None)]
+    got = sorted(map(tuple, jaccard.join(table(spark, rows))[0].collect()), key=repr)
+    assert got == groups(rows)
+
+
+def test_bit_counts_never_exclude_a_link():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        n = int(rng.integers(1, 400))
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.93], rng.integers(0, 1 << 63, int(n * 0.06)).astype(np.uint64)]))
+        if not len(y):
+            continue
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 80 * (len(x) + len(y) - both):
+            apart = jaccard.distances([jaccard.bitmap(x, jaccard.band(len(x))), jaccard.bitmap(y, jaccard.band(len(y)))], np.array([0]), np.array([1]))
+            assert jaccard.possible(np.int64(len(x)), np.int64(len(y)), apart, 80).all()
+            low = min(jaccard.band(len(x)), jaccard.band(len(y)))
+            assert len(np.intersect1d(jaccard.keys(x, low, 80), jaccard.keys(y, low, 80)))
+
+
+def test_components_of_a_path(spark):
+    rows = [(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)]
+    got = {r.node: r.root for r in graph.stars(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 201)} | {501: 500}
+
+
+# ---- 10
+
+
+def test_token_counts(spark):
+    scores = {b"a": -1.0, b"b": -1.2, b"ab": -1.5, b"abc": -3.0, b"ca": -2.0, "▁".encode(): -1.0, "▁a".encode(): -1.5, "é".encode(): -2.0}
+
+    def plain(word):
+        best = [(0.0, 0)]
+        for d in range(1, len(word) + 1):
+            now = (best[d - 1][0] + min(scores.values()) - 10, best[d - 1][1] + 1)
+            for n in range(1, d + 1):
+                s = scores.get(word[d - n : d])
+                if s is not None and best[d - n][0] + s >= now[0]:
+                    now = (best[d - n][0] + s, best[d - n][1] + 1)
+            best.append(now)
+        return best[-1][1]
+
+    def count(text):
+        total = 0
+        for w in (text or "").encode().split():
+            parts = [w[i : i + tokens.LONGEST] for i in range(0, len(w), tokens.LONGEST)]
+            total += plain("▁".encode() + parts[0]) + sum(map(plain, parts[1:]))
+        return total
+
+    rng = random.Random(1)
+    rows = [(i, " ".join("".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 12))) for _ in range(40))) for i in range(30)]
+    rows += [(100, None), (101, ""), (None, "ab"), (102, "ab" * 400), (102, "\x85 x")]
+    got = sorted(((r.doc_id, r.n_tokens) for r in tokens.count(table(spark, rows), scores).collect()), key=repr)
+    assert got == sorted(((i, count(t)) for i, t in rows), key=repr)
+    assert tokens.count(empty(spark), scores).count() == 0
