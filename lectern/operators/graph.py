@@ -59,16 +59,20 @@ def exact_hops(pairs: DataFrame, starts: DataFrame, hops: int = 2) -> DataFrame:
 
 
 def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """(source, target): all pairs joined by a path; (x, x) only on a cycle. Paths double in length each round."""
-    now = stored(edges.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct())
+    """(source, target): all pairs joined by a path; (x, x) only on a cycle.
+
+    After round k, ``now`` has the paths of up to 2**k edges and ``step`` those of just 2**k; a round
+    appends a step to each path, so on chains every pair is made once.
+    """
+    now = step = stored(edges.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct())
     size = now.count()
+    joined = lambda a, b: a.alias("a").join(b.alias("b"), F.col("a.target") == F.col("b.source")).select(F.col("a.source").alias("source"), F.col("b.target").alias("target"))
     for _ in range(rounds):
-        longer = now.alias("a").join(now.alias("b"), F.col("a.target") == F.col("b.source")).select(F.col("a.source").alias("source"), F.col("b.target").alias("target"))
-        after = stored(now.unionByName(longer).distinct())
+        after = stored(now.unionByName(joined(now, step)).distinct())
         grown = after.count()
         if grown == size:
             return after
-        now, size = after, grown
+        now, size, step = after, grown, stored(joined(step, step).distinct())
     raise RuntimeError(f"closure did not settle in {rounds} rounds")
 
 
