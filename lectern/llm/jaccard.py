@@ -29,7 +29,7 @@ BLOCK = 3
 #: Sets below this size have about one shingle in a range, since few ranges vary much in number.
 SMALL = 256
 #: Bits for each shingle at the top of a band; with more, differing shingles seldom meet in one bit and the bound is tighter.
-SPREAD = 4
+SPREAD = 2
 #: Documents in one side of a block of pairs.
 TILE = 1024
 
@@ -293,7 +293,10 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
             break
 
     if not left.isEmpty():
-        # What is left: members of different groups in one tile. A large tile is cut into blocks, each pair of blocks a task's group.
+        # What is left: members of different groups in one tile. Tiles of one least member are one, so that tiles
+        # of one passage are compared once. A large tile is cut into blocks, each pair of blocks a task's group.
+        least = left.groupBy("key").agg(F.min("node").alias("least"))
+        left = stored(left.join(least, "key").select(F.col("least").alias("key"), "node", "root").distinct())
         parts = left.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
         placed = left.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
         dealt = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
