@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import ids, measures, replies, text
-from lectern.operators import evaluate, graph, layers, mcq, qa, resolve, segment
-from lectern.plans.standin import CHAIN, EDGES, edges, part_chain, table
+from lectern.operators import evaluate, graph, layers, mcq, qa, resolve, segment, tasks
+from lectern.plans.standin import CHAIN, EDGES, edges, part_chain, school, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -484,3 +484,25 @@ def mcq_build(spark, d):
     rows = e.groupBy("l_orderkey").agg(names("p_name").alias("answer_names"), names("p_brand").alias("candidate_names")).join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     made = mcq.build(rows.select(F.col("l_orderkey").cast("string").alias("id"), F.lit("Which parts?").alias("question"), "answer_names", "candidate_names", F.col("l_orderkey").alias("ord"), F.col("o_orderpriority").alias("file")))
     return made.select("id", "question", F.array_join("answer", ",").alias("answer"), *[F.element_at("options", x).alias(f"option_{x.lower()}") for x in "ABCD"])
+
+
+# ---- benchmark tasks
+
+
+def _task(name: str):
+    def run(spark, d):
+        g = school(spark, d)
+        parts = tasks.TASKS[name](g)
+        named = g.nodes.select(F.col("id").alias("node"), "label", "name")
+        score = F.round(ids.template_index("sim", F.concat_ws("|", "query", "node"), 1000) / 1000, 3)
+        rows = parts.candidates.join(named, "node").withColumns({"sim_score": score, "sim_question": score, "sim_answer": score})
+        kept = layers.layered(rows, parts.answers.join(named, "node"), parts.blocked, parts.labels, parts.stop_at)
+        return kept.select("query", "layer", "node", "name", F.col("rank").cast("long").alias("rank"), "sim_score")
+
+    run.__name__ = name
+    run.__doc__ = f"Layered candidates of {name} on the stand-in graph, with a hash as similarity."
+    return run
+
+
+for _name in tasks.TASKS:
+    query()(_task(_name))

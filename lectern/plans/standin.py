@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lectern.operators import graph, tasks
+from lectern.operators.fixpoint import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,3 +36,47 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = part.select(F.col("p_partkey").alias("source"), F.min("p_partkey").over(Window.partitionBy("p_name", "p_size")).alias("target")).where("source <> target")
     out = part_chain(part, "p_brand", "p_type").withColumn("type", F.lit("prerequisites_for"))
     return out.unionByName(part_chain(part, "p_name", "p_brand").withColumn("type", F.lit("relates_to"))).unionByName(star.withColumn("type", F.lit("is_a")))
+
+
+def school(spark: SparkSession, sf_dir: str):
+    """A small curriculum graph out of whole tables: part names, brands and types as knowledge, customer groups as exercises.
+
+    Its size follows the numbers of names, brands, types and nations, not of rows.
+    """
+    part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
+    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    made = lambda prefix, *c: F.concat_ws("_", F.lit(prefix), *[F.translate(F.col(x).cast("string"), " _", "--") for x in c])
+    concept, skill, lab = made("math_7a_rjb_cpt", "p_name"), made("math_7a_rjb_skl", "p_brand"), made("math_7a_rjb_exp", "p_type")
+    exercise = made("math_7a_rjb_exe", "c_nationkey", "c_mktsegment")
+
+    def top(source, target, k):
+        """The k targets that most lines join to each source."""
+        counts = lines.groupBy(source.alias("source"), target.alias("target")).agg(F.count("*").alias("c"))
+        return counts.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("c"), "target"))).where(F.col("n") <= k).select("source", "target")
+
+    names = part.select(concept.alias("source"), F.substring("p_name", 1, 1).alias("g")).distinct()
+    chain = lambda k, by: names.select("source", F.lead("source", k).over(Window.partitionBy(by).orderBy("source")).alias("target")).where("target IS NOT NULL")
+    star = names.select("source", F.min("source").over(Window.partitionBy("g")).alias("target")).where("source <> target")
+    book = F.when(F.col("n_nationkey") % 2 == 0, "math_7a_rjb").otherwise("math_bx1_rjb")
+    chapter = F.concat(book, F.lit("_ch"), F.col("n_regionkey").cast("string"))
+    places = nation.select("n_nationkey", book.alias("book"), book.alias("book_name"), chapter.alias("chapter"), chapter.alias("chapter_title"), F.concat(chapter, F.lit("_s"), F.col("n_nationkey").cast("string")).alias("section"), F.col("n_name").alias("section_title"), F.col("n_nationkey").alias("ord"))
+    nodes, part_of = graph.structure(places.drop("n_nationkey"))
+    content = [(concept, "Concept", "p_name"), (skill, "Skill", "p_brand"), (lab, "Experiment", "p_type")]
+    for id_, label, name in content:
+        nodes = nodes.unionByName(part.select(id_.alias("id"), F.lit(label).alias("label"), F.col(name).alias("name"), F.lit(0).alias("ord")).distinct())
+    nodes = nodes.unionByName(table(spark, sf_dir, "customer").select(exercise.alias("id"), F.lit("Exercise").alias("label"), F.concat_ws(" ", "c_nationkey", "c_mktsegment").alias("name"), F.lit(0).alias("ord")).distinct())
+    typed = [(top(exercise, concept, 2), "tests_concept"), (top(exercise, skill, 2), "tests_skill"), (top(lab, concept, 3), "verifies"), (chain(1, "g"), "prerequisites_for"), (chain(2, "g"), "relates_to"), (star, "is_a")]
+    leads = places.select(F.col("chapter").alias("source"), F.regexp_extract("chapter", r"(\d+)$", 1).cast("int").alias("k"), "book").distinct()
+    typed.append((leads.select("source", F.lead("source").over(Window.partitionBy("book").orderBy("k")).alias("target")).where("target IS NOT NULL"), "leads_to"))
+    edges_ = None
+    for rows, name in typed:
+        rows = rows.select("source", "target", F.lit(name).alias("type"))
+        edges_ = rows if edges_ is None else edges_.unionByName(rows)
+    at = None
+    for id_ in (concept, skill, lab, exercise):
+        rows = top(id_, F.col("s_nationkey"), 2)
+        at = rows if at is None else at.unionByName(rows)
+    appears = at.join(places.select(F.col("n_nationkey").alias("target"), "section"), "target").select("source", F.col("section").alias("target"))
+    nodes, edges_ = stored(nodes.select("id", "label", "name")), stored(edges_)
+    return tasks.Graph(nodes, edges_, stored(graph.locations(nodes, stored(appears), stored(part_of))))
