@@ -29,8 +29,12 @@ HOT_WORDS = 100_000
 PASSAGE_WINDOWS = 128
 
 NO_ID = (1 << 63) - 1
+#: Stand-ins for null ids lie from here on, one for each text; as far as order goes they are all this value.
+NULLS = (1 << 63) - (1 << 41)
 
 _PASSAGES = "id long, start int, n int, anchor long, passage long"
+_BODIES = "anchor long, passage long, n int, id long, last long, hot boolean, body binary"
+_RUNS = "array<struct<at:int,size:int,first_id:long>>"
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -76,29 +80,16 @@ def _passages(window: int, anchor: int):
 
 
 def _windows(window: int):
-    """Passages of hot anchors as single windows, each with its own words' hash as anchor."""
+    """The windows of cut passages, each with its words' hash as anchor and its place ``at`` in the passage."""
 
     def run(batches):
         for rows, data, bounds in W.texts(batches):
             words = W.split(data, bounds, W.not_space())
-            want = rows.column("want")
-            r = np.repeat(np.arange(len(rows)), np.diff(want.offsets.to_numpy()))
-            part = want.flatten()
-            start, n, same = (part.field(k).to_numpy(zero_copy_only=False) for k in ("start", "n", "passage"))
-            keep = words.first[r] + start + n + window - 1 <= words.first[r + 1]
-            r, start, n, same = r[keep], start[keep], n[keep], same[keep]
-            at = words.first[r] + start
-            keep = W.gram_hashes(words.hashes, at, n + window - 1).view(np.int64) == same
-            r, at, n = r[keep], at[keep], n[keep]
-            position, of = W.runs(at, at + n)
-            value = W.longs(W.gram_hashes(words.hashes, position, np.full(len(position), window)))
-            yield pa.record_batch({
-                "id": rows.column("id").take(pa.array(r[of])),
-                "start": pa.array((position - words.first[r[of]]).astype(np.int32)),
-                "n": pa.array(np.ones(len(position), np.int32)),
-                "anchor": value,
-                "passage": value,
-            })
+            at, r = W.runs(words.first[:-1], words.first[1:] - window + 1)
+            out = {k: rows.column(k).take(pa.array(r)) for k in ("of_anchor", "of_passage", "of_n", "id", "last")}
+            out["at"] = pa.array((at - words.first[r]).astype(np.int32))
+            out["anchor"] = W.longs(W.gram_hashes(words.hashes, at, window)) if len(at) else pa.array([], pa.int64())
+            yield pa.record_batch(out)
 
     return run
 
@@ -124,7 +115,8 @@ def _cut(window: int):
             offsets = np.concatenate([[0], np.cumsum(high - low)]).astype(np.int32)
             body = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(offsets), pa.py_buffer(data[index])])
             chosen = part.take(pa.array(keep))
-            yield pa.record_batch({"anchor": chosen.field("anchor"), "passage": chosen.field("passage"), "n": chosen.field("n"), "id": rows.column("id").take(pa.array(r[keep])), "body": body})
+            out = {k: chosen.field(k) for k in ("anchor", "passage", "n", "last", "hot")}
+            yield pa.record_batch(out | {"id": rows.column("id").take(pa.array(r[keep])), "body": body}).select(["anchor", "passage", "n", "id", "last", "hot", "body"])
 
     return run
 
@@ -218,42 +210,59 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
     A word goes if a window of ``window`` words that covers it also starts in a row with a smaller
     integer id. Windows are judged on the input. A null or empty text has no words and keeps an empty
     string; a text shorter than the window keeps all. Rows of one id are judged each on its own text,
-    and none is earlier than the other. A null id is later than all others. Other columns are not read.
+    and none is earlier than the other. A null id is later than all others, which lie below NULLS.
+    Other columns are not read.
     """
     if not anchor < window <= DEPTH:
         raise ValueError(f"anchor < window <= {DEPTH} is asked for")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    stand_in = F.lit(NULLS) + F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 40))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("id"), F.col(id_col).alias("key"), text.alias("text"))
     texts = rows.select("id", "text")
+    place = ["anchor", "passage", "n"]
 
-    def shared(passages: DataFrame) -> DataFrame:
-        """Passages whose anchor also stands in another document."""
-        twice = passages.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
-        return passages.join(twice, "anchor")
-
-    def distinct(passages: DataFrame) -> DataFrame:
-        """Each distinct passage of an anchor with the least id, and one place, that has it."""
-        return passages.groupBy("anchor", "passage", "n").agg(F.min(F.struct("id", "start")).alias("at")).select("anchor", "passage", "n", "at.*")
+    def order(column: str):
+        return F.least(F.col(column), F.lit(NULLS))
 
-    def with_texts(passages: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        wanted = passages.groupBy("id").agg(F.collect_list(F.struct(*names)).alias("want"))
+    def with_texts(passages: DataFrame) -> DataFrame:
+        wanted = passages.groupBy("id").agg(F.collect_list(F.struct("start", *place, "last", "hot")).alias("want"))
         return wanted.join(texts, "id").select("id", "text", "want")
 
+    # Passages whose anchor also stands in another document, and each distinct one with the least id that has it.
     everywhere = stored(texts.mapInArrow(_passages(window, anchor), _PASSAGES))
-    found = stored(shared(everywhere))
+    twice = everywhere.groupBy("anchor").agg(F.min(order("id")).alias("lo"), F.max(order("id")).alias("hi")).where("lo < hi").select("anchor")
+    found = stored(everywhere.join(twice, "anchor"))
     drop(everywhere)
-    one = stored(distinct(found))
+    one = stored(found.groupBy(*place).agg(F.min(F.struct("id", "start")).alias("first"), F.max(order("id")).alias("last")).select(*place, "first.*", "last"))
     hot = stored(one.groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("held")).where(F.col("held") > HOT_WORDS).select("anchor"))
-    if not hot.isEmpty():
-        split = with_texts(found.join(hot, "anchor", "left_semi"), ("start", "n", "passage"))
-        split = stored(shared(stored(split.mapInArrow(_windows(window), _PASSAGES))))
-        found = found.join(hot, "anchor", "left_anti").unionByName(split)
-        one = stored(one.join(hot, "anchor", "left_anti").unionByName(distinct(split)))
-    held = one.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
-    bodies = with_texts(one, ("start", "n", "anchor", "passage")).mapInArrow(_cut(window), "anchor long, passage long, n int, id long, body binary")
+    some_hot = not hot.isEmpty()
+    marked = one.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    bodies = with_texts(marked).mapInArrow(_cut(window), _BODIES)
+    words = F.sum(F.col("n") + window - 1)
+    if some_hot:
+        # Anchors with many contexts: their passages are cut like all; those of their windows that two documents have are indexed instead.
+        bodies = stored(bodies)
+        whole = [f"of_{k}" for k in place]
+        split = bodies.where("hot").select(*(F.col(k).alias(f"of_{k}") for k in place), "id", "last", F.col("body").cast("string").alias("text"))
+        windows = stored(split.mapInArrow(_windows(window), "of_anchor long, of_passage long, of_n int, id long, last long, at int, anchor long"))
+        least = F.min(F.struct("id", "at", *whole)).alias("first")
+        again = windows.groupBy("anchor").agg(least, F.min(order("id")).alias("lo"), F.max("last").alias("last")).where("lo < last").select("anchor", "last", "first.at", *(f"first.{k}" for k in whole))
+        part = F.struct(F.col("at").alias("start"), "anchor", F.col("anchor").alias("passage"), F.lit(1).alias("n"), "last", F.lit(False).alias("hot"))
+        want = again.groupBy(*whole).agg(F.collect_list(part).alias("want"))
+        single = stored(split.join(want, whole).select("id", "text", "want").mapInArrow(_cut(window), _BODIES))
+        bodies = bodies.where("NOT hot").unionByName(single)
+        held = bodies.agg(words).first()[0] or 0
+    else:
+        held = one.agg(words).first()[0] or 0
     shards = max(1, -(-held // SHARD_WORDS))
-    answers = bodies.repartition(shards, "anchor").mapInArrow(_search(window), "anchor long, passage long, n int, runs array<struct<at:int,size:int,first_id:long>>")
-    covered = found.join(answers, ["anchor", "passage", "n"])
-    runs = covered.select("id", "start", "n", "passage", F.explode(F.filter("runs", lambda r: r.first_id < F.col("id"))).alias("run"))
+    answers = bodies.select(*place, "id", "body").repartition(shards, "anchor").mapInArrow(_search(window), f"anchor long, passage long, n int, runs {_RUNS}")
+    if some_hot:
+        answers = stored(answers)
+        of_window = windows.join(answers.select("anchor", F.col("runs")[0]["first_id"].alias("first_id")), "anchor")
+        of_passage = of_window.groupBy(*(F.col(f"of_{k}").alias(k) for k in place)).agg(F.collect_list(F.struct("at", F.lit(1).alias("size"), "first_id")).cast(_RUNS).alias("runs"))
+        answers = answers.join(hot, "anchor", "left_anti").unionByName(of_passage)
+    covered = found.join(answers, place)
+    runs = covered.select("id", "start", "n", "passage", F.explode(F.filter("runs", lambda r: r.first_id < order("id"))).alias("run"))
     by_id = runs.groupBy("id").agg(F.collect_list(F.struct("start", "n", "passage", "run.at", "run.size")).alias("found"))
     empty = F.array().cast("array<struct<start:int,n:int,passage:long,at:int,size:int>>")
     joined = rows.join(by_id, "id", "left").select("key", "text", F.coalesce("found", empty).alias("found"))
