@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import words as W
 from lectern.llm.graph import stars
-from lectern.llm.tables import drop, stored
+from lectern.llm.tables import drop, small_batches, stored
 
 #: Shingles in a range, on average, at the top of a size band.
 BLOCK = 3
@@ -237,6 +237,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     """
     if not 50 < percent <= 100:
         raise ValueError("percent is over 50 and at most 100")
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
     stand_in = F.lit(NO_ID) + F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 40))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("id"), text.alias("text"))

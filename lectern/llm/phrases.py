@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import words as W
-from lectern.llm.tables import stored
+from lectern.llm.tables import small_batches, stored
 
 #: Bytes of text in a shard, and words of queries that travel to every task at once; more queries go in several blocks.
 SHARD_BYTES = 4 << 20
@@ -92,6 +92,7 @@ def build(docs: DataFrame, terms: np.ndarray | None = None, id_col: str = "doc_i
 
     With ``terms`` (sorted hashes) only postings of these are stored, else of all terms.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return stored(rows.mapInArrow(_index(terms), _SHARD))
 

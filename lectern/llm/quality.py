@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import words as W
+from lectern.llm.tables import small_batches
 
 #: Rows, at most, from which the linear scorer learns, drawn by a hash of the text; EM uses the votes of all rows.
 TRAIN_ROWS = 6_000
@@ -22,6 +23,8 @@ BUCKETS = 1 << 14
 STEPS = 300
 LEARNING = 0.5
 RIDGE = 1e-4
+#: Words without any evidence that each text counts as having besides its own, so that two or three words decide little.
+PRIOR_WORDS = 10
 
 #: Labellers in the order of their votes.
 LABELLERS = ("symbols", "marked_words", "capitals", "variety", "frequent_word", "repeated_lines", "short_words", "sentences", "letters")
@@ -154,7 +157,7 @@ def _training(batches):
         row = np.tile(words.row_of(), 3)
         code, count = np.unique(row * BUCKETS + features(data, words, parts).ravel(), return_counts=True)
         owner = code // BUCKETS
-        value = count / np.maximum(1, np.diff(words.first))[owner]
+        value = count / (np.diff(words.first) + PRIOR_WORDS)[owner]
         first = np.searchsorted(owner, np.arange(len(rows) + 1))
         yield pa.record_batch({"pattern": pa.array(((found + 1) * base).sum(axis=1)), "bucket": W.lists(pa.array((code % BUCKETS).astype(np.int32)), first), "value": W.lists(pa.array(value.astype(np.float32)), first)})
 
@@ -180,6 +183,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict:
 
     Without rows the model's score is 0.5 everywhere.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     counts = rows.mapInArrow(_patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("c")).orderBy("pattern").collect()
     code = np.array([r[0] for r in counts], np.int64)
@@ -209,7 +213,7 @@ def _score(model):
             words = W.split(data, bounds, W.not_space())
             parts = _word_kinds(data, words)
             each = weights[features(data, words, parts)].sum(axis=0)
-            total = _by_row(each, words) / np.maximum(1, np.diff(words.first)) + bias
+            total = _by_row(each, words) / (np.diff(words.first) + PRIOR_WORDS) + bias
             score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
             out = rows.drop_columns(["_quality_text"])
             yield out.append_column("quality_score", pa.array(score)).append_column("quality_keep", pa.array(score >= 0.5))
@@ -223,6 +227,7 @@ def classify(docs: DataFrame, text_col: str = "text", model: dict | None = None)
     All rows and columns stay, whatever they hold. A null or empty text has no features: its score is
     the bias alone, alike for all. Equal texts have equal scores.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, text_col) if model is None else model
     kept = docs.drop("quality_score", "quality_keep")
     rows = kept.withColumn("_quality_text", F.col(text_col).cast("string"))

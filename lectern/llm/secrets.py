@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.llm.tables import small_batches
+
 #: Characters of a candidate, and of the text before and after it that count as neighbours.
 SHORTEST, NEIGHBOURS = 16, 64
 #: Labelled findings at most, trees and depth of the forest, and the probability from which a candidate is a secret.
@@ -205,6 +207,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "te
     text has no candidates and stays null, an empty one stays empty. Without a path column, or where it
     is null, the path counts as unknown. Equal texts with equal paths have equal results.
     """
+    small_batches(docs.sparkSession)
     kept = docs.drop("secret_candidates", "secrets", "redacted")
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit(None).cast("string")
     rows = kept.withColumns({"_secret_text": F.col(text_col).cast("string"), "_secret_path": path})

@@ -8,6 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of rows in one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches end at BATCH_BYTES: by rows alone, long texts make them large in both processes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or a new temporary folder where it is unset (a single machine)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
