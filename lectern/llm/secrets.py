@@ -20,22 +20,28 @@ from pyspark.sql import types as T
 
 from lectern.llm.tables import small_batches
 
-#: Characters of a candidate, and of the text before and after it that count as neighbours.
+#: Characters of a candidate that no keyword names, and of the text before and after it that count as neighbours.
 SHORTEST, NEIGHBOURS = 16, 64
 #: Labelled findings at most, trees and depth of the forest, and the probability from which a candidate is a secret.
 FINDINGS, TREES, DEPTH, LEVEL = 20_000, 40, 8, 0.5
 REDACTED = "[SECRET]"
 
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,}={0,2}(?![A-Za-z0-9_+/=-])")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+={0,2}+(?![A-Za-z0-9_+/-])")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[a-z]{3,}")
 
 #: Neighbouring words that stand beside secrets, and beside harmless look-alikes.
 KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "access_key", "credential", "bearer", "authorization", "private_key", "client_secret")
 HARMLESS = ("sha", "md5", "checksum", "commit", "digest", "hash", "uuid", "guid", "etag", "revision", "example", "sample", "placeholder", "http://", "https://")
+EMPTY_VALUES = ("none", "null", "nil", "true", "false", "yes", "no", "required", "optional", "undefined", "changeme")
 TEST_PATHS = ("test", "example", "sample", "fixture", "doc", "mock")
 
-FEATURES = ("length", "transitions", "entropy", "digits", "uppers", "hex", "repeats", "coverage", "keyword", "assigned", "quoted", "harmless", "slashes", "test_path")
+#: What stands left of an assignment to a keyword, and right of its first sign. A value in quotes goes up to these, another up to a separator.
+_NAMED = re.compile(rf"(?:{'|'.join(map(re.escape, KEYWORDS))})[\w.-]*+[\"'`\])]*[ \t]*$", re.IGNORECASE)
+_SIGN = re.compile(r"[=:]")
+_VALUE = re.compile(r"[=:]{1,3}>?[ \t]*(?:(?:bearer|basic|token)[ \t]+)?(?:\"([^\"\s]+)|'([^'\s]+)|`([^`\s]+)|([^\s\"'`<>(){}\[\],;&|]+))", re.IGNORECASE)
+
+FEATURES = ("length", "transitions", "entropy", "digits", "uppers", "hex", "repeats", "coverage", "keyword", "assigned", "quoted", "harmless", "slashes", "test_path", "empty_value")
 
 
 def _kind(c: str) -> int:
@@ -67,6 +73,7 @@ def describe(token: str, before: str, after: str, path: str, dictionary: set[str
         float(any(k in beside for k in HARMLESS)),
         token.count("/") / n,
         float(any(k in (path or "").lower() for k in TEST_PATHS)),
+        float(low in EMPTY_VALUES),
     ]
 
 
@@ -78,18 +85,46 @@ def dictionary(text: str) -> set[str]:
     return out
 
 
+def assigned(text: str):
+    """(start, end) of every value assigned to a keyword, whatever its length and characters; full stops and colons after an unquoted one aside."""
+    done = 0
+    for sign in _SIGN.finditer(text):
+        at = sign.start()
+        if at < done or not _NAMED.search(text[max(0, at - NEIGHBOURS) : at]):
+            continue
+        if m := _VALUE.match(text, at):
+            start, end = m.span(m.lastindex)
+            if m.lastindex == 4:
+                end = start + len(m[4].rstrip(".:"))
+            if end > start:
+                yield start, end
+                done = end
+
+
 def candidates(text: str):
-    """(start, end) of every run that may be a secret: SHORTEST characters or more of a key's alphabet, a digit among them."""
+    """(start, end) of every run that may be a secret, none inside another.
+
+    These are the values assigned to a keyword, and elsewhere SHORTEST characters or more of a key's
+    alphabet, a digit among them.
+    """
+    named = list(assigned(text))
+    at, out = 0, list(named)
     for m in _CANDIDATE.finditer(text):
-        if _DIGIT.search(m[0]):
-            yield m.span()
+        if not _DIGIT.search(m[0]):
+            continue
+        while at < len(named) and named[at][1] <= m.start():
+            at += 1
+        if at == len(named) or named[at][0] >= m.end():
+            out.append(m.span())
+    yield from sorted(out)
 
 
 def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
     """Labelled findings (token, before, after, path, label) by a seeded rule, half of them secrets.
 
-    Secrets: random keys of usual alphabets and lengths after an assignment. Others: digests and ids
-    under their names, placeholders, paths, and words run together with numbers.
+    Secrets: random keys of usual alphabets and lengths, and short passwords or keys of letters, after an
+    assignment with spaces or without, or in a URL. Others: digests and ids under their names, placeholders,
+    paths, words run together with numbers, and plain words and placeholders assigned to a keyword.
     """
     rng = random.Random(seed)
     syllables = ["con", "ter", "ing", "ment", "ora", "del", "ein", "que", "the", "ati", "sch", "ion", "lar", "est", "ver", "per"]
@@ -102,13 +137,21 @@ def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, st
         path = rng.choice(["src1", "app/config.py", "deploy/env", "notes.txt", "tests/data.py"])
         shout = rng.random() < 0.15
         if i % 2:
-            token = rng.choice([lambda: key(hex_, (32, 40, 48, 64)), lambda: key(base, (20, 24, 32, 40, 64)), lambda: "AKIA" + key(upper, (16,)), lambda: "ghp_" + key(base, (36,)), lambda: key(base + "+/", (40, 44)) + "="])()
+            token = rng.choice([lambda: key(hex_, (32, 40, 48, 64)), lambda: key(base, (20, 24, 32, 40, 64)), lambda: "AKIA" + key(upper, (16,)), lambda: "ghp_" + key(base, (36,)), lambda: key(base + "+/", (40, 44)) + "=", lambda: key(base[:52], (16, 20, 24, 32)), lambda: key(base + "!#$%@_-", range(6, 16)), lambda: "".join(word() for _ in range(3))])()
             name = rng.choice(KEYWORDS)
             quote = rng.choice(['"', '"', "'", ""])
-            before, after = f"{prose()} {name} {rng.choice(['=', '=', ':'])} {quote}", quote + " " + prose()
+            before, after = rng.choice([
+                lambda: (f"{prose()} {name} {rng.choice(['=', '=', ':'])} {quote}", quote + " " + prose()),
+                lambda: (f"{prose()} {rng.choice(['', word().upper() + '_', 'export '])}{rng.choice([name, name.upper()])}{rng.choice('==:')}{quote}", quote + " " + prose()),
+                lambda: (f"{prose()} {rng.choice(['https://', 'http://', ''])}{word()}.org/{word()}{rng.choice('?&')}{name}=", rng.choice(["", "&" + word() + "=1"]) + " " + prose()),
+            ])()
         else:
             token = rng.choice([lambda: key(hex_, (32, 40, 64)), lambda: "".join(word() for _ in range(5)) + str(rng.randint(0, 99)), lambda: rng.choice("xX0*a") * rng.randint(16, 40) + "1", lambda: "/".join(word() for _ in range(4)) + f"/{rng.randint(1, 999)}", lambda: "-".join(key(hex_, (k,)) for k in (8, 4, 4, 4, 12)), lambda: key("0123456789", (16, 18, 20, 24)), lambda: f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}-{word()}-{word()}"])()
-            before, after = rng.choice([f"{prose()} {rng.choice(HARMLESS)} ", f"{prose()} {rng.choice(HARMLESS)}: ", prose() + " "]), " " + prose()
+            before, after = rng.choice([f"{prose()} {rng.choice(HARMLESS)} ", f"{prose()} {rng.choice(HARMLESS)}: ", f"{prose()} {rng.choice(HARMLESS)}=", f"{prose()} {word()}=", prose() + " "]), " " + prose()
+            if rng.random() < 0.4:
+                # a word of the text, or a placeholder, is no key although a keyword stands before it
+                token = rng.choice([word, lambda: word().title(), lambda: rng.choice(EMPTY_VALUES), lambda: rng.choice(EMPTY_VALUES).title(), lambda: rng.choice(["xxxx", "****", "your-" + word()]), lambda: rng.choice("xX*.") * rng.randint(6, 40)])()
+                before, after = f"{prose()} {rng.choice(KEYWORDS)}{rng.choice(['=', ' = ', ': ', ': '])}", f" {prose()} {token if token.isalpha() and rng.random() < 0.5 else word()} {prose()}"
         if shout:
             token, before = token.upper(), before.upper()
         out.append((token, before, after, path, i % 2))
@@ -177,7 +220,9 @@ def _scan(trees):
                 spans = list(candidates(text or ""))
                 if not spans:
                     continue
-                known = dictionary(" ".join(w for w in text.split() if len(w) < SHORTEST))
+                # a candidate is no word of its own text
+                rest = " ".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True))
+                known = dictionary(" ".join(w for w in rest.split() if len(w) < SHORTEST))
                 for s, e in spans:
                     found.append((s, e))
                     rows.append(i)
