@@ -14,25 +14,37 @@ from lectern.llm import jaccard, mixing, phrases, quality, secrets
 from lectern.llm.tables import stored
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """docs with _key: doc_id, or in rows without one a number of their own above all ids, stored so that it stays the same."""
+    seen = docs.agg(F.max(F.col("doc_id").cast("long")), F.count("*") - F.count("doc_id")).first()
+    if not seen[1]:
+        return docs.withColumn("_key", F.col("doc_id").cast("long"))
+    own = F.lit(max(0, (seen[0] or 0) + 1)) + F.monotonically_increasing_id()
+    return stored(docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), own)))
+
+
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label classifier, fitted on docs, does not reject."""
     return quality.classify(docs).where("quality_keep").select(docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each group linked at 0.8; all rows without a doc_id stay.
+    """One document, that of the least doc_id, of each group linked at 0.8.
 
-    Repeated rows of one doc_id are one document: one of them stays.
+    Repeated rows of one doc_id are one document: one of them stays. Each row without a doc_id is a
+    document of its own, and goes where it is linked to a document with one.
     """
-    groups, _ = jaccard.join(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    keyed = with_keys(docs)
+    groups, _ = jaccard.join(keyed, id_col="_key")
+    first = groups.where("_key = component_id").select("_key").distinct()
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents none of whose words lie in a window of a benchmark item."""
-    found = phrases.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    keyed = with_keys(docs)
+    found = phrases.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
+    return keyed.join(found.where("contaminated").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

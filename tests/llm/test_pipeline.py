@@ -2,6 +2,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lectern.llm import registry
@@ -37,6 +38,21 @@ def test_stages_take_odd_rows(spark):
         table.count()
 
 
+def test_decisions_apply_to_rows_without_an_id(spark):
+    rng = random.Random(2)
+    new = lambda: " ".join(f"word{rng.randrange(9000)}" for _ in range(60))
+    leak = next(r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").collect() if r.text and len(r.text.split()) > 12)
+    a, b, c = new(), new(), new()
+    rows = [(1, a), (None, a), (None, a + " more"), (None, b), (None, b), (None, b + " end"), (None, c), (None, f"{c} {leak} {c}"), (2, f"{a} {leak}"), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = corpus_pipeline.without_benchmark(spark, docs, DATA)
+    assert clean.columns == docs.columns
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted((r for r in rows if leak not in (r[1] or "")), key=repr)
+    kept = [tuple(r) for r in corpus_pipeline.without_near_duplicates(spark, docs.where(~F.coalesce(F.contains("text", F.lit(leak)), F.lit(False))), DATA).collect()]
+    assert (1, a) in kept and (None, c) in kept and kept.count((None, None)) == 2
+    assert len(kept) == 5 and sum(t is not None and t.startswith(b) for _, t in kept) == 1
+
+
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
