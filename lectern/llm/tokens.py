@@ -20,8 +20,8 @@ from lectern.llm import words as W
 #: Vocabulary file of a public tokenizer; only its pieces and their order are read.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
-#: Bytes of a pre-token; a longer run of characters is cut into several pre-tokens.
-LONGEST = 256
+#: Bytes of a pre-token in the trie; a longer one is scored alone, in blocks of BLOCK bytes.
+LONGEST, BLOCK = 256, 1 << 16
 #: Distinct pre-tokens whose counts a task remembers from slice to slice.
 REMEMBERED = 500_000
 
@@ -59,6 +59,47 @@ class Table:
         self.shift = W.powers(int(_STEP), max(by, default=0) + 1)
 
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of each of the given distinct byte strings, by one trie over all but the long ones."""
+        out = np.zeros(len(starts), np.int64)
+        long = ends - starts > LONGEST
+        for i in np.flatnonzero(long).tolist():
+            out[i] = self.long_count(data[starts[i] : ends[i]])
+        out[~long] = self.trie_counts(data, starts[~long], ends[~long])
+        return out
+
+    def long_count(self, data: np.ndarray) -> int:
+        """Tokens of one byte string of any length: pieces are found block by block, and the scores of the last ``reach`` bytes carried over."""
+        reach = max(self.lengths, default=1)
+        score, token = [0.0], [0]
+        for low in range(0, len(data), BLOCK):
+            high, back = min(low + BLOCK, len(data)), max(0, low - reach)
+            piece = np.zeros(high - back, np.uint64)  # of n bytes from each start on
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            for n in range(1, min(reach, high - back) + 1):
+                many = high - back - n + 1
+                piece = piece[:many] * _STEP + data[back + n - 1 : back + n - 1 + many] + np.uint64(1)
+                if n not in self.lengths:
+                    continue
+                known, value = self.lengths[n]
+                at = np.minimum(np.searchsorted(known, piece), len(known) - 1)
+                hit = np.flatnonzero((known[at] == piece) & (np.arange(many) + back + n > low))
+                found.append((hit + back + n, np.full(len(hit), n), value[at[hit]]))
+            end, size, value = map(np.concatenate, zip(*found, strict=True))
+            order = np.lexsort((size, end))
+            first = np.searchsorted(end[order], np.arange(low + 1, high + 2)).tolist()
+            size, value = size[order].tolist(), value[order].tolist()
+            for a, z in zip(first[:-1], first[1:], strict=True):
+                best, count = score[-1] + self.other, token[-1] + 1
+                for k in range(a, z):
+                    # of equal scores the longer piece counts
+                    if score[-size[k]] + value[k] >= best:
+                        best, count = score[-size[k]] + value[k], token[-size[k]] + 1
+                score.append(best)
+                token.append(count)
+            del score[: -reach - 1], token[: -reach - 1]
+        return token[-1]
+
+    def trie_counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each of the given distinct byte strings, by one trie over all of them."""
         size = ends - starts
         out = np.zeros(len(size), np.int64)
@@ -103,13 +144,8 @@ def _count(scores):
         held, tokens = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for rows, data, bounds in W.texts(batches):
             words = W.split(data, bounds, W.not_space())
-            cut = -(-(words.ends - words.starts) // LONGEST)
-            number, of = W.runs(np.zeros(len(cut), np.int64), cut)
-            starts = words.starts[of] + number * LONGEST
-            ends = np.minimum(words.ends[of], starts + LONGEST)
-            # a later part of a long word has no space before it, so it is another pre-token
-            kind = (number > 0).astype(np.uint64)
-            keys = W.mixed(W.span_hashes(data, starts, ends) + kind)
+            starts, ends = words.starts, words.ends
+            keys = W.mixed(W.span_hashes(data, starts, ends))
             distinct, example, at = np.unique(keys, return_index=True, return_inverse=True)
             place = np.minimum(np.searchsorted(held, distinct), max(0, len(held) - 1))
             new = np.flatnonzero(held[place] != distinct) if len(held) else np.arange(len(distinct))
@@ -117,7 +153,7 @@ def _count(scores):
             if len(held):
                 count = tokens[place]
             if len(new):
-                head = np.where(kind[example[new]] == 0, len(MARK), 0)
+                head = len(MARK)
                 span = ends[example[new]] - starts[example[new]]
                 begin = np.cumsum(head + span) - (head + span)
                 joined = np.empty(int((head + span).sum()), np.uint8)
@@ -125,15 +161,14 @@ def _count(scores):
                 target, _ = W.runs(begin + head, begin + head + span)
                 joined[target] = data[index]
                 for i, b in enumerate(MARK):
-                    joined[begin[head > 0] + i] = b
+                    joined[begin + i] = b
                 count[new] = table.counts(joined, begin, begin + head + span)
                 if len(held) + len(new) > REMEMBERED:
                     held, tokens = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 merged = np.concatenate([held, distinct[new]])
                 order = np.argsort(merged)
                 held, tokens = merged[order], np.concatenate([tokens, count[new]])[order]
-            row = words.row_of()[of]
-            total = np.bincount(row, weights=count[at], minlength=len(rows)).astype(np.int64)
+            total = np.bincount(words.row_of(), weights=count[at], minlength=len(rows)).astype(np.int64)
             yield pa.record_batch({"id": rows.column("id"), "n_words": pa.array(np.diff(words.first)), "n_tokens": pa.array(total)})
 
     return run
@@ -142,8 +177,8 @@ def _count(scores):
 def count(docs: DataFrame, scores: dict[bytes, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row of docs: id, n_words and n_tokens under the vocabulary ``scores`` (default: VOCABULARY's pieces).
 
-    Pre-tokens are the text's words ``[^\\x20\\x09-\\x0D]+``, each with the mark of a space before it, cut
-    after LONGEST bytes. Segmentations have the highest total score; of equal ones, the one whose last
+    Pre-tokens are the text's words ``[^\\x20\\x09-\\x0D]+``, each with the mark of a space before it,
+    whatever its length. Segmentations have the highest total score; of equal ones, the one whose last
     piece is longer. A null or empty text has 0 tokens. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -480,3 +480,29 @@ def test_token_counts(spark):
     got = sorted(((r.doc_id, r.n_tokens) for r in tokens.count(table(spark, rows), scores).collect()), key=repr)
     assert got == sorted(((i, count(t)) for i, t in rows), key=repr)
     assert tokens.count(empty(spark), scores).count() == 0
+
+
+def test_token_counts_of_long_words(spark, monkeypatch):
+    scores = {b"a": -1.0, b"b": -1.25, b"ab": -1.5, b"abc": -3.0, b"cab": -1.75, "▁".encode(): -1.0, "中".encode(): -2.0, "中文".encode(): -2.5, "文中文".encode(): -3.5}
+    other = min(scores.values()) - 10
+
+    def plain(word):
+        best = [(0.0, 0)]
+        for d in range(1, len(word) + 1):
+            now = (best[d - 1][0] + other, best[d - 1][1] + 1)
+            for n in range(1, min(d, 9) + 1):
+                s = scores.get(word[d - n : d])
+                if s is not None and best[d - n][0] + s >= now[0]:
+                    now = (best[d - n][0] + s, best[d - n][1] + 1)
+            best.append(now)
+        return best[-1][1]
+
+    rng = random.Random(3)
+    words = ["中文" * 300, "cab" * 200] + ["".join(rng.choice("abc中文") for _ in range(n)) for n in (84, 120, 257, 700, 3000)]
+    rows = [(i, w) for i, w in enumerate(words)] + [(50, " ".join(words))]
+    got = {r.doc_id: r.n_tokens for r in tokens.count(table(spark, rows), scores).collect()}
+    assert got == {i: sum(plain("▁".encode() + w.encode()) for w in t.split()) for i, t in rows}
+    monkeypatch.setattr(tokens, "BLOCK", 7)
+    for w in words:
+        data = np.frombuffer(w.encode(), np.uint8)
+        assert tokens.Table(scores).long_count(data) == plain(w.encode())
