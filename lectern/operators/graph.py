@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,17 +78,29 @@ def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"closure did not settle in {rounds} rounds")
 
 
-def cycles(edges: DataFrame, longest: int = 6, most: int = 200) -> DataFrame:
-    """(cycle, length): simple cycles of 2 to ``longest`` nodes, from their least node on, the first ``most`` by it."""
+def cycles(edges: DataFrame, longest: int | None = None, most: int = 200) -> DataFrame:
+    """(cycle, length): simple cycles of 2 to ``longest`` nodes (None: of any length), from their least node on, the first ``most`` by it.
+
+    Without a bound, paths grow along edges between strongly connected nodes until none is open; their
+    number can grow exponentially where such nodes have many edges.
+    """
     e = stored(edges.select("source", "target").where("source <> target").distinct())
+    if longest is None:
+        back = closure(e).select(F.col("target").alias("source"), F.col("source").alias("target"))
+        e = stored(e.join(back, ["source", "target"], "left_semi"))
     paths = e.where("source < target").select(F.col("source").alias("start"), F.array("source", "target").alias("path"), F.col("target").alias("source"))
     out = None
-    for length in range(2, longest + 1):
+    for length in count(2):
         closed = paths.join(e, "source").where("target = start").select("path")
         out = closed if out is None else out.unionByName(closed)
-        if length < longest:
-            grown = paths.join(e, "source").where((F.col("target") > F.col("start")) & ~F.array_contains("path", F.col("target")))
-            paths = grown.select("start", F.concat("path", F.array("target")).alias("path"), F.col("target").alias("source"))
+        if length == longest:
+            break
+        grown = paths.join(e, "source").where((F.col("target") > F.col("start")) & ~F.array_contains("path", F.col("target")))
+        paths = grown.select("start", F.concat("path", F.array("target")).alias("path"), F.col("target").alias("source"))
+        if longest is None:
+            paths = stored(paths)
+            if paths.isEmpty():
+                break
     found = out.select(F.array_join("path", ">").alias("cycle"), F.size("path").cast("long").alias("length"))
     return found.orderBy("cycle").limit(most)
 

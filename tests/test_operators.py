@@ -55,6 +55,30 @@ def test_closure_and_cycles(spark):
     assert {r.node for r in graph.on_cycle(e).collect()} == {"x", "y", "z"}
 
 
+def test_cycles_of_any_length(spark):
+    ring = [(f"r{i:02}", f"r{(i + 1) % 13:02}") for i in range(13)]
+    rows = [*ring, ("r03", "r07"), ("r09", "r02"), ("tail", "r00"), ("r05", "leaf"), ("a", "b"), ("b", "a"), ("a", "a"), ("c", "d")]
+
+    def plain():
+        out = set()
+
+        def walk(path):
+            for x, y in rows:
+                if x == path[-1] and y == path[0] and len(path) > 1:
+                    out.add((">".join(path), len(path)))
+                elif x == path[-1] and y > path[0] and y not in path:
+                    walk([*path, y])
+
+        for node in {x for x, _ in rows}:
+            walk([node])
+        return sorted(out)
+
+    e = spark.createDataFrame(rows, "source string, target string")
+    assert max(n for _, n in plain()) == 13
+    assert [tuple(r) for r in graph.cycles(e).collect()] == plain()
+    assert [tuple(r) for r in graph.cycles(e, most=2).collect()] == plain()[:2]
+
+
 def test_exact_hops_from_a_set(spark):
     pairs = graph.neighbours(edges(spark, [("a", "b", "is_a"), ("b", "c", "is_a"), ("c", "d", "is_a"), ("d", "e", "is_a")]))
     starts = spark.createDataFrame([("q", "a"), ("q", "d")], "query string, node string")
