@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import words as W
 from lectern.llm.graph import stars
-from lectern.llm.tables import drop, small_batches, stored
+from lectern.llm.tables import drop, most_rows, small_batches, spread_join, stored
 
 #: Shingles in a range, on average, at the top of a size band.
 BLOCK = 3
@@ -32,6 +32,12 @@ SMALL = 256
 SPREAD = 2
 #: Documents in one side of a block of pairs.
 TILE = 1024
+#: Pairs of a block, and bytes of bitmaps, that a worker holds as arrays at once.
+PAIRS, COMPARED_BYTES = 250_000, 4 << 20
+#: Pairs of rows of the last step in one task, about, and tasks at most (beyond, tasks get more).
+TASK_PAIRS, MOST_TASKS = 4_000_000, 20_000
+#: Parts of a key's rows in joins by key, so that no task gets all rows of a large tile.
+SALTS = 64
 
 #: Stand-ins for null ids lie above this, one for each text.
 NO_ID = (1 << 63) - (1 << 41)
@@ -147,8 +153,9 @@ def distances(maps: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
         used, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
         rows = folded([maps[i] for i in used], int(size))
         left, right = at[: len(pairs)], at[len(pairs) :]
-        for i in range(0, len(pairs), 50_000):
-            out[pairs[i : i + 50_000]] = np.bitwise_count(rows[left[i : i + 50_000]] ^ rows[right[i : i + 50_000]]).sum(axis=1)
+        step = max(1, COMPARED_BYTES // int(size))
+        for i in range(0, len(pairs), step):
+            out[pairs[i : i + step]] = np.bitwise_count(rows[left[i : i + step]] ^ rows[right[i : i + step]]).sum(axis=1)
     return out
 
 
@@ -189,7 +196,7 @@ def _tiles(percent: int):
         index = np.searchsorted(kinds, node)
         fit = []
         cut = np.cumsum(end - np.arange(len(key)) - 1)
-        edges = np.searchsorted(cut, np.arange(0, (cut[-1] if len(cut) else 0) + 2_000_000, 2_000_000), "right")
+        edges = np.searchsorted(cut, np.arange(0, (cut[-1] if len(cut) else 0) + PAIRS, PAIRS), "right")
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             j, i = W.runs(np.arange(lo, hi) + 1, end[lo:hi])
             i = i + lo
@@ -222,6 +229,17 @@ def _tiles(percent: int):
     return run
 
 
+def _meet(rows: DataFrame, values: list) -> DataFrame:
+    """rows (key, node, ...) with values over all rows of their key: (name, aggregate of rows, function that joins aggregates).
+
+    The rows of a key are dealt by node to SALTS parts, and the values go to each part that has rows: no task gets a whole hot key.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("key", "_salt").agg(*(first.alias(name) for name, first, _ in values))
+    whole = parts.groupBy("key").agg(*(again(name).alias(name) for name, _, again in values), F.collect_list("_salt").alias("_salts"))
+    return salted.join(whole.withColumn("_salt", F.explode("_salts")).drop("_salts"), ["key", "_salt"]).drop("_salt")
+
+
 def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Links between documents, collapsed to groups: (rows, links).
 
@@ -251,25 +269,32 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     to_node = members.where("n > 0").select("id", "node").distinct()
     many = to_node.groupBy("id").agg(F.min("node").alias("a"), F.count("*").alias("c")).where("c > 1")
     same_id = to_node.join(many, "id").where("node <> a").select("a", F.col("node").alias("b"))
-    by_node = found.join(to_node, "id").select("key", "node").distinct()
-    several = by_node.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    tiles = stored(by_node.join(several, "key"))
-    marked = tiles.select("node").distinct()
+    by_node = stored(found.join(to_node, "id").select("key", "node").distinct())
+    drop(found)
+    tiles = stored(_meet(by_node, [("c", F.count("*"), F.sum)]).where("c > 1").select("key", "node"))
+    drop(by_node)
+    marked = stored(tiles.select("node").distinct())
     bits = stored(sets.join(marked, sets["id"] == marked["node"], "left_semi").select(F.col("id").alias("node"), "n", "bits"))
     bodies = stored(rows.join(marked, rows["id"] == marked["node"], "left_semi").select(F.col("id").alias("node"), "text"))
     drop(sets)
-    drop(found)
+    drop(marked)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (a, b) those that link, decided on their texts."""
-        x = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-        xy = x.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        return xy.select("a", "b", "x", "y").mapInArrow(_exact(size, percent), "a long, b long")
+        """Of stored distinct pairs (a, b) those that link, stored: first by their bit counts, then decided on their texts."""
+
+        counts = most_rows(pairs, "a", "b")
+
+        def both(pairs: DataFrame, table: DataFrame, names: dict[str, tuple[str, str]]) -> DataFrame:
+            for end, other, most in zip("ab", "ba", counts, strict=True):
+                side = table.select(F.col("node").alias(end), *(F.col(c).alias(names[c]["ab".index(end)]) for c in names))
+                pairs = spread_join(pairs, side, end, other, most)
+            return pairs
 
-    def bounded(pairs: DataFrame) -> DataFrame:
-        x = pairs.join(bits.select(F.col("node").alias("a"), "n", F.col("bits").alias("x")), "a")
-        xy = x.join(bits.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
-        return xy.select("a", "b", "n", "m", "x", "y").mapInArrow(_within(percent), "a long, b long").distinct()
+        near = stored(both(pairs, bits, {"n": ("n", "m"), "bits": ("x", "y")}).select("a", "b", "n", "m", "x", "y").mapInArrow(_within(percent), "a long, b long"))
+        out = stored(both(near, bodies, {"text": ("x", "y")}).select("a", "b", "x", "y").mapInArrow(_exact(size, percent), "a long, b long"))
+        drop(near)
+        drop(pairs)
+        return out
 
     def grouped(rows: DataFrame, roots: DataFrame) -> DataFrame:
         return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -277,38 +302,44 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     links = None
     roots = None
     left = tiles
-    for pivot in (F.min("node"), F.max("node")):
-        pivots = left.groupBy("key").agg(pivot.alias("pivot"))
-        pairs = left.join(pivots, "key").where("node <> pivot")
+    for pivot in (F.min, F.max):
+        pairs = _meet(left, [("pivot", pivot("node"), pivot)]).where("node <> pivot")
         if roots is not None:
-            pivot_root = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-            pairs = pairs.join(pivot_root, "pivot", "left").where("root <> coalesce(pivot_root, pivot)")
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        new = stored(linked(bounded(pairs)))
+            pairs = stored(pairs)
+            known = pairs.select("pivot").distinct().join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("up")), "pivot", "left")
+            pairs = spread_join(pairs, known, "pivot", "node", most_rows(pairs, "pivot")[0]).where("root <> coalesce(up, pivot)")
+        pairs = stored(pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+        new = linked(pairs)
         links = new if links is None else links.unionByName(new)
         roots = stars(new.unionByName(same_id) if roots is None else new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        of_groups = grouped(tiles, roots)
-        open_ = of_groups.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        left = stored(of_groups.join(open_, "key"))
+        after = stored(_meet(grouped(tiles, roots), [("lo", F.min("root"), F.min), ("hi", F.max("root"), F.max)]).where("lo < hi").select("key", "node", "root"))
+        if left is not tiles:
+            drop(left)
+        left = after
         if left.isEmpty():
             break
 
     if not left.isEmpty():
         # What is left: members of different groups in one tile. Tiles of one least member are one, so that tiles
         # of one passage are compared once. A large tile is cut into blocks, each pair of blocks a task's group.
-        least = left.groupBy("key").agg(F.min("node").alias("least"))
-        left = stored(left.join(least, "key").select(F.col("least").alias("key"), "node", "root").distinct())
-        parts = left.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
-        placed = left.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
+        merged = stored(_meet(left, [("least", F.min("node"), F.min)]).select(F.col("least").alias("key"), "node", "root").distinct())
+        sizes = merged.groupBy("key").agg(F.count("*").alias("c"))
+        work = sizes.agg(F.sum(F.col("c") * F.col("c"))).first()[0]
+        placed = _meet(merged, [("c", F.count("*"), F.sum)]).withColumn("parts", F.ceil(F.col("c") / TILE).cast("int"))
+        placed = placed.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
         dealt = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
         dealt = dealt.select("key", "node", "root", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.expr("CASE WHEN part = other THEN 2 WHEN part < other THEN 0 ELSE 1 END").alias("side"))
         blocks = dealt.join(bits, "node")
-        near = blocks.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+        # the number of tasks follows from the pairs of rows, not from the bytes, which few pairs of large tiles have
+        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, -(-work // TASK_PAIRS)))
+        near = blocks.repartition(tasks, "key", "p", "q").sortWithinPartitions("key", "p", "q")
         rest = near.select("key", "p", "q", "node", "root", "n", "side", "bits").mapInArrow(_tiles(percent), "a long, b long").distinct()
-        new = stored(linked(rest))
+        new = linked(stored(rest))
         links = links.unionByName(new)
         if not new.isEmpty():
             roots = stars(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    for table in (tiles, bits, bodies):
+        drop(table)
     kind = docs.schema[id_col].dataType.simpleString()
     named = grouped(members, roots).select(F.when(F.col("id") < NO_ID, F.col("id")).cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("root") < NO_ID, F.col("root")).cast(kind).alias("component_id"))
     return named, links

@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 #: Bytes of rows in one Arrow batch between Spark and a Python worker.
 BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """From now on the session's Arrow batches end at BATCH_BYTES: by rows alone, long texts make them large in both processes."""
+    """The session's Arrow batches end at BATCH_BYTES: by rows alone, long texts make them large in both processes.
+
+    Results are read after an operator returned, so this stays set. Every operator that sends texts to
+    Python calls it, so that none depends on what ran before.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a new temporary folder where it is unset (a single machine)."""
+    """spark.checkpoint.dir; where it is unset, a new temporary folder, which only a local master can share with its tasks."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -39,3 +46,29 @@ def drop(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of one key that a task of a join may get before they are parted.
+HOT_ROWS = 2_048
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, other: str, most: int | None) -> DataFrame:
+    """rows with the columns of table, which has one row of each key at most.
+
+    ``most``: rows of the most frequent key. Rows of one key part by a hash of ``other``, and the table's row
+    goes to each part that has rows, so that no task gets more than about HOT_ROWS rows of a key.
+    """
+    salts = -(-(most or 0) // HOT_ROWS)
+    if salts <= 1:
+        return rows.join(table, key)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(salts)))
+    parts = salted.select(key, "_salt").distinct().join(table, key)
+    return salted.join(parts, [key, "_salt"]).drop("_salt")
+
+
+def most_rows(rows: DataFrame, *columns: str) -> list[int]:
+    """For each of the columns, all of one type, the number of rows of its most frequent value."""
+    ends = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in enumerate(columns))))
+    found = rows.select(ends.alias("x")).groupBy("x").agg(F.count("*").alias("c")).groupBy("x.i").agg(F.max("c")).collect()
+    most = dict(tuple(r) for r in found)
+    return [most.get(i, 0) for i in range(len(columns))]

@@ -7,6 +7,7 @@ million distinct words collide with probability below 1e-7.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a worker holds as arrays at once; one longer document still comes whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -72,6 +73,14 @@ class Words(NamedTuple):
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: idle workers stay alive beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def texts(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[Texts]:
     """The batches in slices of about ``size`` bytes of text. A null text is an empty one."""
     for batch in batches:
@@ -88,6 +97,7 @@ def texts(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = S
             stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, "right")) - 1)
             yield Texts(batch.slice(start, stop - start), data[bounds[start] : bounds[stop]], bounds[start : stop + 1] - bounds[start])
             start = stop
+    release()
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
