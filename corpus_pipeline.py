@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import jaccard, mixing, phrases, quality, secrets
-from lectern.llm.tables import stored
+from lectern.llm.tables import drop, stored
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
@@ -78,7 +78,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs)
-    return docs
+        after = stage(spark, docs, sf_dir)
+        if i == len(STAGES) - 1:
+            return after
+        after = stored(after)
+        if i:
+            drop(docs)  # nothing reads the table of the stage before any more
+        docs = after
