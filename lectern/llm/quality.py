@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import words as W
-from lectern.llm.tables import small_batches
+from lectern.llm.tables import drop, small_batches, stored
 
-#: Rows, at most, from which the linear scorer learns, drawn by a hash of the text; EM uses the votes of all rows.
-TRAIN_ROWS = 6_000
+#: Distinct texts, and features of them, from which the linear scorer learns at most: those of the least hashes. EM uses all distinct texts.
+TRAIN_ROWS, TRAIN_FEATURES = 6_000, 4_000_000
 BUCKETS = 1 << 14
 STEPS = 300
 LEARNING = 0.5
@@ -118,12 +118,12 @@ def features(data: np.ndarray, words: W.Words, parts: np.ndarray) -> np.ndarray:
 
 
 def _patterns(batches):
-    """Votes of each text as one number, base 3, and the number of words."""
+    """Hash of each text, and its votes as one number, base 3."""
     base = 3 ** np.arange(len(LABELLERS))
     for rows, data, bounds in W.texts(batches):
         words = W.split(data, bounds, W.not_space())
         found = votes(data, bounds, words, _word_kinds(data, words))
-        yield pa.record_batch({"pattern": pa.array(((found + 1) * base).sum(axis=1))})
+        yield pa.record_batch({"h": rows.column("h"), "pattern": pa.array(((found + 1) * base).sum(axis=1))})
 
 
 def maximise(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float, np.ndarray]:
@@ -149,60 +149,64 @@ def maximise(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200) -> tu
 
 
 def _training(batches):
+    """Hash and features of each text: buckets and their shares of its words."""
     for rows, data, bounds in W.texts(batches):
         words = W.split(data, bounds, W.not_space())
-        parts = _word_kinds(data, words)
-        found = votes(data, bounds, words, parts)
-        base = 3 ** np.arange(len(LABELLERS))
         row = np.tile(words.row_of(), 3)
-        code, count = np.unique(row * BUCKETS + features(data, words, parts).ravel(), return_counts=True)
+        code, count = np.unique(row * BUCKETS + features(data, words, _word_kinds(data, words)).ravel(), return_counts=True)
         owner = code // BUCKETS
         value = count / (np.diff(words.first) + PRIOR_WORDS)[owner]
         first = np.searchsorted(owner, np.arange(len(rows) + 1))
-        yield pa.record_batch({"pattern": pa.array(((found + 1) * base).sum(axis=1)), "bucket": W.lists(pa.array((code % BUCKETS).astype(np.int32)), first), "value": W.lists(pa.array(value.astype(np.float32)), first)})
+        yield pa.record_batch({"h": rows.column("h"), "pattern": rows.column("pattern"), "bucket": W.lists(pa.array((code % BUCKETS).astype(np.int32)), first), "value": W.lists(pa.array(value.astype(np.float32)), first)})
 
 
-def regress(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft targets by gradient steps with momentum; (weights of the buckets, bias)."""
-    weights, bias, speed, lift = np.zeros(BUCKETS), 0.0, np.zeros(BUCKETS), 0.0
+def regress(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.ndarray, bias: float) -> np.ndarray:
+    """Weights of the buckets by logistic regression on soft targets, gradient steps with momentum; the bias is given."""
+    weights, speed = np.zeros(BUCKETS), np.zeros(BUCKETS)
     n = max(1, len(target))
     square = np.bincount(bucket, weights=value * value, minlength=BUCKETS) / n
     rate = LEARNING / (square + 1e-3)
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=weights[bucket] * value, minlength=len(target)) + bias, -30, 30)))
-        error = p - target
-        step = np.bincount(bucket, weights=error[row] * value, minlength=BUCKETS) / n + RIDGE * weights
+        step = np.bincount(bucket, weights=(p - target)[row] * value, minlength=BUCKETS) / n + RIDGE * weights
         speed = 0.8 * speed - rate * step * 0.05
-        lift = 0.8 * lift - LEARNING * float(error.mean())
-        weights, bias = weights + speed, bias + lift
-    return weights, bias
+        weights = weights + speed
+    return weights
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> dict:
-    """Model of the corpus docs: labellers' tables and share from all rows; weights and bias from TRAIN_ROWS at most.
+    """Model of the corpus docs: labellers' tables and share from all distinct texts; weights from a sample of them.
 
-    Without rows the model's score is 0.5 everywhere.
+    A text counts once, however often it occurs, so that copies crowd out nothing. The sample is that of the
+    least hashes, bounded by TRAIN_ROWS and TRAIN_FEATURES: the same table gives the same model on every run.
+    Null and empty texts are one text. Without rows the model's score is 0.5 everywhere.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    counts = rows.mapInArrow(_patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("c")).orderBy("pattern").collect()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("h"), text.alias("text"))
+    # texts of one hash have one pattern, but for a chance of 2**-64; the least then counts
+    distinct = stored(rows.mapInArrow(_patterns, "h long, pattern long").groupBy("h").agg(F.min("pattern").alias("pattern")))
+    counts = distinct.groupBy("pattern").agg(F.count("*").alias("c")).orderBy("pattern").collect()
     code = np.array([r[0] for r in counts], np.int64)
     weight = np.array([r[1] for r in counts], np.float64)
     patterns = code[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1
     table, share, good = maximise(patterns, weight)
-    n = int(weight.sum())
     model = {"table": table, "share": share, "weights": np.zeros(BUCKETS), "bias": 0.0}
-    if n:
-        # a threshold on the hash takes about as many rows as are wanted, and the limit makes it a bound
-        most = int(min(1.0, 1.2 * TRAIN_ROWS / n + 20 / n) * ((1 << 62) - 1))
-        chosen = rows.where(F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2) <= most)
-        got = chosen.mapInArrow(_training, "pattern long, bucket array<int>, value array<float>").limit(TRAIN_ROWS).toArrow().combine_chunks()
-        if len(got):
-            lists = got.column("bucket").combine_chunks()
-            size = np.diff(lists.offsets.to_numpy())
-            target = good[np.searchsorted(code, got.column("pattern").to_numpy())]
-            row = np.repeat(np.arange(len(got)), size)
-            model["weights"], model["bias"] = regress(row, lists.flatten().to_numpy(), got.column("value").combine_chunks().flatten().to_numpy().astype(np.float64), target)
+    if len(counts):
+        last = distinct.orderBy("h").limit(TRAIN_ROWS).agg(F.max("h")).first()[0]
+        one = rows.where(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text"))
+        got = stored(one.join(distinct, "h").mapInArrow(_training, "h long, pattern long, bucket array<int>, value array<float>"))
+        sizes = sorted(tuple(r) for r in got.select("h", F.size("bucket")).collect())
+        fits = max(1, int(np.searchsorted(np.cumsum([n for _, n in sizes]), TRAIN_FEATURES, "right")))
+        sample = got.where(F.col("h") <= sizes[min(fits, len(sizes)) - 1][0]).toArrow().combine_chunks().sort_by("h")
+        lists, values = (sample.column(c).combine_chunks() for c in ("bucket", "value"))
+        target = good[np.searchsorted(code, sample.column("pattern").to_numpy())]
+        row = np.repeat(np.arange(len(sample)), np.diff(lists.offsets.to_numpy()))
+        # without evidence a text is as likely good as the corpus is
+        model["bias"] = float(np.log(share / (1 - share)))
+        model["weights"] = regress(row, lists.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float64), target, model["bias"])
+        drop(got)
+    drop(distinct)
     return model
 
 
