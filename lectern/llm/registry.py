@@ -70,8 +70,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-rates AS (
-  SELECT source, n, least(64.0, 1.0 * (SELECT sum(n) FROM counts)::DOUBLE * 1.0 / (SELECT count(*) FROM counts)::DOUBLE / n) AS rate FROM counts),
+means AS (SELECT source, 1.0 * (SELECT sum(n) FROM counts)::DOUBLE * 1.0 / (SELECT count(*) FROM counts)::DOUBLE / n AS mean FROM counts),
+rates AS (SELECT source, greatest(1, ceil(mean / 64))::INTEGER AS draws, mean / greatest(1, ceil(mean / 64))::INTEGER AS rate FROM means),
 cdf AS (
   WITH RECURSIVE steps AS (
     SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
@@ -80,14 +80,15 @@ cdf AS (
     WHERE k + 1 <= floor(rate + 12 * sqrt(rate) + 20))
   SELECT source, k, c FROM steps),
 draws AS (
-  SELECT doc_id, source, lang, text,
-    ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
-  FROM documents),
+  SELECT doc_id, source, lang, text, j,
+    ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || CASE WHEN j > 0 THEN ':' || j ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+  FROM (SELECT d.*, unnest(range(0, draws)) AS j FROM documents d JOIN rates r ON r.source IS NOT DISTINCT FROM d.source)),
 counted AS (
-  SELECT d.*, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u) AS n FROM draws d)
+  SELECT d.*, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u) AS n FROM draws d),
+whole AS (SELECT doc_id, source, lang, text, sum(n)::BIGINT AS n FROM counted GROUP BY ALL)
 SELECT doc_id, source, lang, text, copy::INTEGER AS mix_copy,
   md5('order 17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy) AS mix_order
-FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
+FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM whole WHERE n > 0)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
