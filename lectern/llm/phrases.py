@@ -111,15 +111,16 @@ class Shard:
         self.width = int(self.first[-1]) + 1
         self.posting = np.repeat(np.arange(len(self.terms)), self.sizes) * self.width + self.positions
 
-    def find(self, windows: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(number of the window, first position) of each match of windows[k] in one document.
+    def find(self, windows: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the window, first position, document) of each match of windows[k] in one document.
 
         Every term stands at its place in the phrase, or up to ``slop`` words before or after it;
-        the place is counted from the phrase's rarest term in the shard.
+        the place is counted from the phrase's rarest term in the shard, so with slop the first position
+        may lie before the document.
         """
         none = np.zeros(0, np.int64)
         if not len(self.terms) or not len(windows):
-            return none, none
+            return none, none, none
         at = np.minimum(np.searchsorted(self.terms, windows), len(self.terms) - 1)
         which = np.flatnonzero((self.terms[at] == windows).all(axis=1))
         at = at[which]
@@ -140,7 +141,7 @@ class Shard:
             there = np.minimum(np.searchsorted(self.posting, key + low), len(self.posting) - 1)
             fits = (self.posting[there] >= key + low) & (self.posting[there] <= key + high)
             query, start, row = query[fits], start[fits], row[fits]
-        return which[query], start
+        return which[query], start, row
 
 
 def _matches(queries, slop: int):
@@ -152,19 +153,19 @@ def _matches(queries, slop: int):
             for x in b.to_pylist():
                 shard = Shard(x["first"], x["terms"], x["lists"], x["gaps"])
                 n = len(shard.first) - 1
-                starts, sizes, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                starts, sizes, items, owners = ([np.zeros(0, np.int64)] for _ in range(4))
                 for size, windows in grams.items():
-                    which, start = shard.find(windows, slop)
+                    which, start, owner = shard.find(windows, slop)
                     count = np.array([len(items_of[size][k]) for k in which], np.int64)
                     starts.append(np.repeat(start, count))
+                    owners.append(np.repeat(owner, count))
                     sizes.append(np.full(count.sum(), size))
                     items.append(np.concatenate([np.zeros(0, np.int64), *(items_of[size][k] for k in which)]))
-                start, size, item = map(np.concatenate, (starts, sizes, items))
-                row = np.clip(np.searchsorted(shard.first, start, "right") - 1, 0, max(0, n - 1))
+                start, size, item, row = map(np.concatenate, (starts, sizes, items, owners))
                 order = np.lexsort((start, row))
                 start, size, item, row = start[order], size[order], item[order], row[order]
                 named = pa.array(names, pa.string()).take(pa.array(item))
-                match = pa.StructArray.from_arrays([pa.array((start - shard.first[row]).astype(np.int32)), pa.array(size.astype(np.int32)), named], ["at", "size", "item"])
+                match = pa.StructArray.from_arrays([pa.array(np.maximum(0, start - shard.first[row]).astype(np.int32)), pa.array(size.astype(np.int32)), named], ["at", "size", "item"])
                 null = np.unpackbits(np.frombuffer(x["null_ids"], np.uint8), count=n).astype(bool)
                 yield pa.record_batch({
                     "shard": pa.array(np.full(n, x["shard"])),
@@ -178,8 +179,10 @@ def _matches(queries, slop: int):
 
 
 def search(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """For each row of docs: shard, row, id, n_words and ``matches``, an array of (at, size, item).
+    """For each row of docs: shard, row, id, n_words and ``matches``, an array of (at, size, item) in the order of at.
 
+    With slop, ``at`` is counted from the phrase's rarest term and is 0 at least. Matches of one place come
+    in no order; rows of one id are each on their own, and columns but id and text are not read.
     Queries are all runs of ``window`` words of an item; an item of fewer words is one query, and one
     without words (or null) is none. A null item id is named ``null``. Items are read in blocks of
     about BLOCK_WORDS words; each block is indexed for and searched in all rows.
