@@ -9,18 +9,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import words as W
+from lectern.llm.tables import small_batches, stored
 
-#: Labelled rows of a language that are read for its automaton, and characters of them that it holds.
-SAMPLE_ROWS = 400
-SAMPLE_CHARS = 60_000
-#: A phrase ends with its piece of this many characters, so that the pieces of all texts can be parsed side by side.
+#: Bounds of the sample of a language: distinct texts, their characters together, and those of one text. Only whole texts are
+#: taken, and one in any case: where a language has no text within LONGEST, its shortest.
+SAMPLE_ROWS, SAMPLE_CHARS, LONGEST = 400, 60_000, 4_000
+#: Characters in a piece; the pieces of all texts are parsed side by side, and joined to the parse of the whole text.
 PIECE = 256
-#: Labelled languages at most; automata of so many fit a task's memory.
-MOST_LANGUAGES = 64
+#: Languages whose automata a task holds at once; with more, the texts are parsed block by block of languages.
+BLOCK = 16
+#: Entries of a dense table of states and characters; a larger one (alphabets of thousands) is kept as sorted keys.
+DENSE = 1 << 24
 
 
 def normalised(text: str | None) -> str:
@@ -58,113 +62,155 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int]]:
     return nexts, lengths
 
 
-def tables(samples: dict[str, str]) -> dict:
-    """All automata as one table: row of a state, column of a character; -1 where nothing follows.
+class Language:
+    """The automaton of one sample. Characters have numbers; one that the sample lacks has the last, which nothing follows."""
+
+    def __init__(self, name: str, sample: str):
+        self.name = name
+        alphabet = sorted(set(sample))
+        self.codes = np.array([ord(c) for c in alphabet], np.uint32)
+        self.wide = len(alphabet) + 1
+        column = {c: i for i, c in enumerate(alphabet)}
+        nexts, _ = automaton(sample)
+        self.states, self.grid = len(nexts), None
+        keys = np.fromiter((state * self.wide + column[c] for state, step in enumerate(nexts) for c in step), np.int64)
+        to = np.fromiter((t for step in nexts for t in step.values()), np.int32, len(keys))
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[order]
+
+    def opened(self) -> Language:
+        """With its dense table where that is small enough; only the sorted keys travel to tasks."""
+        if self.grid is None and self.states * self.wide <= DENSE:
+            self.grid = np.full(self.states * self.wide, -1, np.int32)
+            self.grid[self.keys] = self.to
+        return self
+
+    def follow(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """States after the characters; -1 where nothing follows."""
+        key = state.astype(np.int64) * self.wide + c
+        if self.grid is not None:
+            return self.grid[key]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.to[at], -1)
+
+    def numbers(self, points: np.ndarray) -> np.ndarray:
+        """Numbers of code points."""
+        at = np.minimum(np.searchsorted(self.codes, points), max(0, len(self.codes) - 1))
+        return np.where(self.codes[at] == points, at, self.wide - 1) if len(self.codes) else np.zeros(len(points), np.int64)
+
+    def parse(self, c: np.ndarray, begin: np.ndarray, stop: np.ndarray, end: np.ndarray, mark: np.ndarray | None = None, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy parse from each of ``begin``: (phrases that start before ``stop``, start of the first phrase at or after it).
+
+        ``end`` is the end of the text. With ``mark`` and no ``base``, the number of each phrase start is written into
+        mark. With ``base``, (phrases, next start) of the parse that wrote it, a parse that meets one of its starts
+        ends there, as both go on alike.
+        """
+        n = len(begin)
+        pos, state, count, after = begin.copy(), np.zeros(n, np.int64), np.zeros(n, np.int64), begin.copy()
+        live = np.flatnonzero(begin < end)
+        while len(live):
+            p, s = pos[live], state[live]
+            fresh = s == 0
+            to = np.full(len(live), -1, np.int64)
+            inner = np.flatnonzero(~fresh)
+            to[inner] = self.follow(s[inner], c[p[inner]])
+            begins = np.flatnonzero(to < 0)  # a phrase starts here: at the entry, after an unknown character, or where a match ends
+            done = begins[p[begins] >= stop[live[begins]]]
+            begins = begins[p[begins] < stop[live[begins]]]
+            if base is not None and len(begins):
+                met = begins[mark[p[begins]] >= 0]
+                if len(met):
+                    which = live[met]
+                    count[which] += base[0][which] - mark[p[met]]
+                    pos[which] = base[1][which]
+                    begins = begins[mark[p[begins]] < 0]
+            else:
+                met = begins[:0]
+            if mark is not None and base is None:
+                mark[p[begins]] = count[live[begins]]
+            count[live[begins]] += 1
+            again = self.follow(np.zeros(len(begins), np.int64), c[p[begins]])
+            to[begins] = np.maximum(again, 0)  # an unknown character is a phrase of its own
+            keep = np.ones(len(live), bool)
+            keep[done] = keep[met] = False
+            moved = live[keep]
+            pos[moved] += 1
+            state[moved] = to[keep]
+            live = moved[pos[moved] < end[moved]]
+        after[:] = pos
+        return count, after
+
+    def phrases(self, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Phrases of each text; text k has the characters first[k] to first[k] + size[k].
+
+        All pieces are parsed from their own start at once. Then each is entered where the parse of the piece
+        before left it, which soon meets a start of its own parse; this is repeated until no entry changes.
+        """
+        c = self.numbers(points)
+        number, of = W.runs(np.zeros(len(size), np.int64), -(-size // PIECE))
+        begin = first[of] + number * PIECE
+        end = (first + size)[of]
+        stop = np.minimum(begin + PIECE, end)
+        mark = np.full(len(points), -1, np.int64)
+        base = self.parse(c, begin, stop, end, mark)
+        count, after, entry = base[0].copy(), base[1].copy(), begin.copy()
+        inner = np.flatnonzero(number > 0)
+        while True:
+            given = after[inner - 1]
+            changed = inner[entry[inner] != given]
+            if not len(changed):
+                break
+            entry[changed] = after[changed - 1]
+            count[changed], after[changed] = self.parse(c, entry[changed], stop[changed], end[changed], mark, (base[0][changed], base[1][changed]))
+            passed = changed[entry[changed] >= stop[changed]]
+            count[passed], after[passed] = 0, entry[passed]
+        return np.bincount(of, weights=count, minlength=len(size)).astype(np.int64)
+
+
+_FOUND = "best string, low double, rest double, known boolean"
+
+
+def _measure(block, with_text: bool):
+    """Best language of each text so far, and the fewest and next fewest phrases a character."""
 
-    Characters that no sample holds share the last column, which never matches.
-    """
-    alphabet = sorted(set("".join(samples.values())))
-    column = {c: i for i, c in enumerate(alphabet)}
-    grids, starts, at = [], [], 0
-    for name in sorted(samples):
-        nexts, _ = automaton(samples[name])
-        grid = np.full((len(nexts), len(alphabet) + 1), -1, np.int32)
-        for state, step in enumerate(nexts):
-            for c, to in step.items():
-                grid[state, column[c]] = to + at
-        grids.append(grid)
-        starts.append(at)
-        at += len(nexts)
-    codes = np.array([ord(c) for c in alphabet], np.uint32)
-    return {"names": sorted(samples), "codes": codes, "starts": starts, "grid": np.concatenate(grids) if grids else np.zeros((1, 1), np.int32)}
-
-
-def phrases(table: dict, characters: np.ndarray, piece: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Phrases of each piece in each language; piece k has characters first[k] to first[k] + piece[k]. Shape (languages, pieces)."""
-    grid, wide = table["grid"].ravel(), table["grid"].shape[1]
-    order = np.argsort(-piece, kind="stable")
-    size, first = piece[order], first[order]
-    out = np.zeros((len(table["names"]), len(piece)), np.int64)
-    for k, start in enumerate(table["starts"]):
-        state = np.full(len(size), start, np.int32)
-        count = (size > 0).astype(np.int64)
-        roots = grid[start * wide : (start + 1) * wide]
-        for step in range(int(size[0]) if len(size) else 0):
-            live = int(np.searchsorted(-size, -step, "left"))
-            c = characters[first[:live] + step]
-            to = grid[state[:live].astype(np.int64) * wide + c]
-            cut = np.flatnonzero(to < 0)
-            if len(cut):
-                # a character that ends a match begins the next phrase; one that the language lacks is a phrase of its own
-                count[cut] += state[cut] != start
-                again = roots[c[cut]]
-                count[cut[again < 0]] += 1
-                to[cut] = np.where(again < 0, start, again)
-            state[:live] = to
-        # a piece that ends just after an unknown character has no open phrase
-        count -= (size > 0) & (state == start) & (count > 0)
-        out[k, order] = count
-    return out
-
-
-def _predict(model):
     def run(batches):
-        m = model.value
-        names, codes = m["names"], m["codes"]
-        wide = len(codes)
-        lookup = np.full(0x110000, -1, np.int32)
-        lookup[codes] = np.arange(wide)
-        for rows, _, _ in W.texts(batches, size=W.SLICE_BYTES):
-            text = [t or "" for t in rows.column("text").to_pylist()]
-            points = np.frombuffer("".join(text).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-            lengths = np.array([len(t) for t in text])
-            if len(points) != lengths.sum():  # lower case has other lengths for a few characters
-                lowered = [t.lower() for t in text]
-                lengths = np.array([len(t) for t in lowered])
-                points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-            row = np.repeat(np.arange(len(text)), lengths)
-            letter = _letters(points)
-            space = ~letter
-            # runs of non-letters become one space; none at either end of a text
-            keep = letter.copy()
-            bounds = np.concatenate([[0], np.cumsum(lengths)])
-            before = np.concatenate([[True], space[:-1]])
-            before[bounds[:-1][lengths > 0]] = True
-            lone = space & ~before
-            seen = np.cumsum(letter)
-            total = np.concatenate([[0], seen])[bounds]
-            lone &= seen < total[1:][row] if len(row) else lone
-            keep |= lone
-            chosen = np.flatnonzero(keep)
-            values = points[chosen].copy()
-            values[lone[chosen]] = 32
-            column = lookup[values]
-            column[column < 0] = wide
-            owner = row[chosen]
-            size = np.bincount(owner, minlength=len(text))
-            start = np.cumsum(size) - size
-            number, of = W.runs(np.zeros(len(size), np.int64), -(-size // PIECE))
-            first = start[of] + number * PIECE
-            part = np.minimum(PIECE, size[of] - number * PIECE)
-            found = phrases(m, column, part, first)
-            sums = np.stack([np.bincount(of, weights=x, minlength=len(text)) for x in found]) if len(names) else np.zeros((0, len(text)))
-            known = (np.bincount(owner[values != 32], minlength=len(text)) > 0) & bool(names)
-            rate = sums / np.maximum(1, size)
-            best = rate.argmin(axis=0) if len(names) else np.zeros(len(text), np.int64)
-            low = rate.min(axis=0, initial=np.inf)
-            rest = np.sort(rate, axis=0)[1] if len(names) > 1 else low * 2
-            score = np.where(known, rest / np.maximum(1e-12, rest + low), 0.0)
-            yield pa.record_batch({
-                "id": rows.column("id"),
-                "held_out": rows.column("held_out"),
-                "lang_pred": pa.array([names[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)], pa.string()),
-                "score": pa.array(np.clip(score, 0.0, 1.0)),
-                "phrases_per_char": pa.array(np.where(known, low, 0.0)),
-            })
+        languages = [x.opened() for x in block.value]
+        for rows, _, _ in W.texts(batches):
+            points, size = _points([t or "" for t in rows.column("text").to_pylist()])
+            first = np.cumsum(size) - size
+            rate = np.stack([x.phrases(points, first, size) for x in languages]) / np.maximum(1, size)
+            before = rows.column("best")
+            low = rows.column("low").to_numpy(zero_copy_only=False)
+            order = np.argsort(np.concatenate([low[None], rate]), axis=0, kind="stable")
+            both = np.sort(np.concatenate([low[None], rows.column("rest").to_numpy(zero_copy_only=False)[None], rate]), axis=0)
+            names = pa.array([None, *(x.name for x in languages)], pa.string()).take(pa.array(order[0]))
+            best = pc.if_else(pa.array(order[0] == 0), before, names)
+            columns = {k: rows.column(k) for k in ("id", "held_out", "text") if with_text or k != "text"}
+            yield pa.record_batch(columns | {"best": best, "low": pa.array(both[0]), "rest": pa.array(both[1]), "known": pa.array(size > 0)})
 
     return run
 
 
+def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of normalised() of each text, end to end, and their numbers; a text without a letter has none."""
+    lowered = [t.lower() for t in texts]
+    lengths = np.array([len(t) for t in lowered], np.int64)
+    points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(texts)), lengths)
+    letter = _letters(points)
+    space = ~letter
+    # runs of non-letters become one space; none at either end of a text
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    before = np.concatenate([[True], space[:-1]])[: len(points)]
+    before[bounds[:-1][lengths > 0]] = True
+    total = np.concatenate([[0], np.cumsum(letter)])[bounds]
+    lone = space & ~before & ((np.cumsum(letter) < total[1:][row]) if len(row) else space)
+    chosen = np.flatnonzero(letter | lone)
+    values = points[chosen].copy()
+    values[lone[chosen]] = 32
+    return values, np.bincount(row[chosen], minlength=len(texts)).astype(np.int64)
+
+
 def _letters(points: np.ndarray) -> np.ndarray:
     """Whether each code point is a letter, as str.isalpha says."""
     distinct, at = np.unique(points, return_inverse=True) if len(points) < 1 << 12 else _distinct(points)
@@ -179,39 +225,60 @@ def _distinct(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, place[points]
 
 
-def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, str]:
-    """Normalised text of up to SAMPLE_ROWS rows of each language, chosen by a hash of the id; SAMPLE_CHARS characters of each."""
+def sample(labelled: DataFrame) -> dict[str, str]:
+    """Normalised text of distinct whole texts of each language of labelled (lang, text), those of the least hashes within the bounds."""
     spark = labelled.sparkSession
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    counts = {lang: n for lang, n in rows.groupBy("lang").agg(F.count("*")).orderBy(F.desc("count(1)"), "lang").limit(MOST_LANGUAGES).collect()}
+    rows = labelled.where("text IS NOT NULL").withColumns({"h": F.xxhash64("text"), "n": F.length("text")})
+    short = rows.where(F.col("n") <= LONGEST)
+    kinds = {r[0]: r[1] for r in short.groupBy("lang").agg(F.approx_count_distinct("h")).collect()}
     texts: dict[str, list[str]] = {}
-    if not counts:
-        return {}
-    # about twice the rows asked for, by a threshold on the hash, so that only these are sorted
-    share = spark.createDataFrame([(k, int(min(1.0, 2 * SAMPLE_ROWS / n + 50 / n) * ((1 << 62) - 1))) for k, n in counts.items()], "_lang string, _most long")
-    near = labelled.withColumn("_h", F.xxhash64(F.col(id_col).cast("string"))).join(F.broadcast(share), F.col(lang_col).cast("string") == F.col("_lang"))
-    few = near.where(F.shiftrightunsigned("_h", 2) <= F.col("_most")).select("_lang", "_h", F.col(text_col).cast("string").alias("text"))
-    for lang, texts_ in few.groupBy("_lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("_h", F.substring("text", 1, SAMPLE_CHARS).alias("text")))), 1, SAMPLE_ROWS).alias("rows")).toLocalIterator():
-        texts[lang] = [x.text or "" for x in texts_]
+    if kinds:
+        # about twice the texts asked for, by a threshold on the hash, so that only these are sorted; it has one row a language of the block
+        share = spark.createDataFrame([(k, int(min(1.0, 2 * SAMPLE_ROWS / n + 50 / n) * ((1 << 62) - 1))) for k, n in kinds.items()], "lang string, most long")
+        few = short.join(F.broadcast(share), "lang").where(F.shiftrightunsigned("h", 2) <= F.col("most")).groupBy("lang", "h").agg(F.min("text").alias("text"))
+        for lang, found in few.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "text"))), 1, SAMPLE_ROWS)).toLocalIterator():
+            texts[lang] = [x.text for x in found]
     out = {}
     for lang, parts in texts.items():
-        each = max(1, SAMPLE_CHARS // max(1, min(len(parts), SAMPLE_ROWS // 4)))
-        out[lang] = " ".join(normalised(t)[:each] for t in parts)[:SAMPLE_CHARS]
-    return {k: v for k, v in out.items() if v.strip()}
+        plain = [p for p in map(normalised, parts) if p]
+        fits = max(1, int(np.searchsorted(np.cumsum([len(p) + 1 for p in plain]), SAMPLE_CHARS, "right"))) if plain else 0
+        if fits:
+            out[lang] = " ".join(plain[:fits])
+    if lacking := [r[0] for r in rows.select("lang").distinct().collect() if r[0] not in out]:
+        least = rows.where(F.col("lang").isin(lacking) & F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(F.min(F.struct("n", "text")).alias("x"))
+        out |= {r[0]: normalised(r[1].text) for r in least.toLocalIterator()}
+    return {k: v for k, v in out.items() if v}
 
 
 def identify(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Language of every row of docs: id, held_out, lang_pred, score, phrases_per_char.
 
-    Automata are fitted on rows where ``held_out`` is false and lang is not null: a sample bounded by
-    SAMPLE_ROWS and SAMPLE_CHARS a language, of the MOST_LANGUAGES most frequent. ``score`` is the
-    runner-up's phrases over the sum of its and the winner's (0.5: as many; 1: none for the winner).
-    A null or empty text, or one without a letter, is ``und`` with score 0, as is all if nothing is
-    labelled. Ties go to the language whose name sorts first. Rows of one id are judged each on its
-    own text; only id, text and lang are read.
+    Automata are fitted on rows where ``held_out`` is false and lang is not null: distinct whole texts within
+    SAMPLE_ROWS, SAMPLE_CHARS and LONGEST a language. Every labelled language that has a letter takes part;
+    beyond BLOCK of them the texts are parsed block by block, stored between. ``score`` is the runner-up's
+    phrases over the sum of its and the winner's (0.5: as many; 1: none for the winner). A null or empty text,
+    or one without a letter, is ``und`` with score 0, as is all if nothing is labelled. Ties go to the language
+    whose name sorts first. Rows of one id are judged each on its own text; only id, text and lang are read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
-    model = tables(sample(docs.where(~F.coalesce(held_out, F.lit(True))), id_col, text_col, lang_col))
+    small_batches(docs.sparkSession)
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(lang_col).cast("string").alias("lang"))
+    labelled = base.where(~F.col("held_out") & F.col("lang").isNotNull()).select("lang", "text")
+    names = sorted(r[0] for r in labelled.select("lang").distinct().collect())
     kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), f"id {kind}, held_out boolean, lang_pred string, score double, phrases_per_char double")
-    return found.withColumnRenamed("id", id_col)
+    far = F.lit(float("inf"))
+    found = base.select("id", "held_out", "text", F.lit(None).cast("string").alias("best"), far.alias("low"), far.alias("rest"), F.lit(False).alias("known"))
+    for i in range(0, len(names), BLOCK):
+        samples = sample(labelled if len(names) <= BLOCK else labelled.where(F.col("lang").isin(names[i : i + BLOCK])))
+        more = i + BLOCK < len(names)
+        languages = docs.sparkSession.sparkContext.broadcast([Language(k, v) for k, v in sorted(samples.items())])
+        found = found.mapInArrow(_measure(languages, more), f"id {kind}, held_out boolean, {'text string, ' if more else ''}{_FOUND}")
+        found = stored(found) if more else found
+    known = F.col("known") & F.col("best").isNotNull()
+    rest = F.when(F.col("rest") == far, 2 * F.col("low")).otherwise(F.col("rest"))
+    return found.select(
+        F.col("id").alias(id_col),
+        "held_out",
+        F.when(known, F.col("best")).otherwise("und").alias("lang_pred"),
+        F.when(known, rest / (rest + F.col("low"))).otherwise(0.0).alias("score"),
+        F.when(known, F.col("low")).otherwise(0.0).alias("phrases_per_char"),
+    )
