@@ -48,6 +48,17 @@ def clean_list(xs: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(xs, squeezed), lambda x: x != ""))
 
 
+def distinct_names(xs: Column) -> Column:
+    """Entries trimmed, without blanks, the first of each compact text, in order; lists are short."""
+    rows = F.filter(F.transform(xs, lambda x: F.btrim(F.coalesce(x, F.lit("")))), lambda x: x != "")
+    return F.aggregate(
+        F.zip_with(rows, F.split(compact(F.array_join(rows, "\u0001")), "\u0001"), lambda n, k: F.struct(n.alias("n"), k.alias("k"))),
+        F.array().cast("array<struct<n:string,k:string>>"),
+        lambda out, r: F.when(F.exists(out, lambda o: o.k == r.k), out).otherwise(F.array_append(out, r)),
+        lambda out: F.transform(out, lambda o: o.n),
+    )
+
+
 def without_space(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)\s+", "")
 

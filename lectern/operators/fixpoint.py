@@ -1,20 +1,45 @@
-"""Tables between rounds of an iteration."""
+"""Tables between rounds of an iteration, and numbers of rows in an order."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df as a Parquet table under spark.checkpoint.dir (a new temporary folder where that is unset), so that plans stay short."""
+    """df as a Parquet table under spark.checkpoint.dir (a new temporary folder where that is unset and the master local), so that plans stay short."""
     spark = df.sparkSession
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", at)
     path = f"{at.rstrip('/')}/lectern-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove the files of a stored() table, once nothing reads it any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ranked(rows: DataFrame, *order: str, name: str = "n") -> DataFrame:
+    """rows with their number from 1 in an order without ties: sorted by ranges, with the counts of the ranges before added.
+
+    No task sorts more than a range; the counts are one row a range.
+    """
+    mask = (1 << 33) - 1
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(sorted_.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(mask))}))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_start", before).select("_part", "_start")
+    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")

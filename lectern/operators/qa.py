@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import measures as M
 from lectern.functions import text
+from lectern.operators.fixpoint import ranked
 
 # Fixed values of the data format.
 RATIOS = {"is_a": 0.60, "verifies": 0.60, "prerequisites_for": 0.35, "relates_to": 0.35}
@@ -74,10 +75,8 @@ def merged_parts(parts: dict[str, DataFrame], kind: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame, kind: str) -> DataFrame:
-    """id {kind}_item_n by (part_no, ord): counts of the parts first, so that no task sorts more than one part."""
-    starts = rows.groupBy("part_no").agg(F.count("*").alias("c")).withColumn("start", F.coalesce(F.sum("c").over(Window.orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("part_no").orderBy("ord"))
-    return rows.withColumn("n", within).join(F.broadcast(starts.select("part_no", "start")), "part_no").withColumn("id", F.concat(F.lit(f"{kind}_item_"), (F.col("start") + F.col("n")).cast("string"))).drop("start", "n", "part_no")
+    """id {kind}_item_n by (part_no, ord), through ranges of that order."""
+    return ranked(rows, "part_no", "ord", name="_n").withColumn("id", F.concat(F.lit(f"{kind}_item_"), F.col("_n").cast("string"))).drop("_n", "part_no")
 
 
 def wanted(task: Column, total: Column, ratios: dict[str, float] = RATIOS) -> Column:
@@ -101,21 +100,33 @@ def deduped(rows: DataFrame, mode: str = "question_answer") -> DataFrame:
 
 
 def sampled(rows: DataFrame, key_col: str = "task", seed: int = SEED, ratios: dict[str, float] = RATIOS) -> DataFrame:
-    """The wanted number of rows of each task, those with the least hash of (seed, task, ord)."""
-    totals = rows.groupBy(key_col).agg(F.count("*").alias("_total"))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col(key_col), F.col("ord")))
-    ranked = rows.join(F.broadcast(totals), key_col).withColumn("_n", F.row_number().over(Window.partitionBy(key_col).orderBy(order, "ord")))
-    return ranked.where(F.col("_n") <= wanted(F.col(key_col), F.col("_total"), ratios)).drop("_n", "_total")
+    """The wanted number of rows of each task, those with the least hash of (seed, task, ord).
 
-
-def replayed_sample(rows: DataFrame, key_col: str = "task", seed: int = SEED, ratios: dict[str, float] = RATIOS) -> DataFrame:
-    """As sampled(), in the exact order of Python's seeded shuffle of each part file; a part is one task's group."""
-    shape = rows.schema
+    Rows fall into 4,096 buckets of hashes a task. Buckets below the border are taken whole, and rows are
+    ranked in the border's bucket alone, so that no task sorts all rows of a task.
+    """
+    hashed = rows.withColumn("_h", F.md5(F.concat_ws(":", F.lit(seed), F.col(key_col), F.col("ord")))).withColumn("_b", F.substring("_h", 1, 3))
+    sizes = hashed.groupBy(key_col, "_b").agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(key_col)
+    until = F.sum("_c").over(whole.orderBy("_b"))
+    sizes = sizes.withColumns({"_most": wanted(F.col(key_col), F.sum("_c").over(whole), ratios), "_until": until})
+    room = sizes.where("_until - _c < _most").select(F.col(key_col), "_b", F.when(F.col("_until") > F.col("_most"), F.col("_most") - F.col("_until") + F.col("_c")).alias("_room"))
+    near = hashed.join(room, [key_col, "_b"])
+    border = near.where("_room IS NOT NULL").withColumn("_n", F.row_number().over(Window.partitionBy(key_col, "_b").orderBy("_h", "ord"))).where("_n <= _room").drop("_n")
+    return near.where("_room IS NULL").unionByName(border).drop("_h", "_b", "_room")
+
+
+def replayed_sample(rows: DataFrame, file_col: str = "file", key_col: str = "task", seed: int = SEED, ratios: dict[str, float] = RATIOS) -> DataFrame:
+    """The wanted share of each file of a task, drawn by Python's seeded shuffle of the file's rows.
+
+    An exact replay for part files, which are small: only the rows' order columns of a file travel to
+    one task. sampled() is the way for data of any size.
+    """
+    keys = rows.select(file_col, key_col, "ord")
 
     def draw(frame: pd.DataFrame) -> pd.DataFrame:
-        name = str(frame[key_col].iloc[0])
-        total = len(frame)
-        count = max(1, round(total * ratios[name])) if name in ratios else total
+        name, task, total = str(frame[file_col].iloc[0]), str(frame[key_col].iloc[0]), len(frame)
+        count = max(1, round(total * ratios[task])) if task in ratios else total
         frame = frame.sort_values("ord")
         if count >= total:
             return frame
@@ -123,4 +134,4 @@ def replayed_sample(rows: DataFrame, key_col: str = "task", seed: int = SEED, ra
         random.Random(seed + int(hashlib.md5(name.encode()).hexdigest()[:8], 16)).shuffle(order)
         return frame.iloc[order[:count]]
 
-    return rows.groupBy(key_col).applyInPandas(draw, shape)
+    return rows.join(keys.groupBy(file_col).applyInPandas(draw, keys.schema), [file_col, key_col, "ord"], "left_semi")

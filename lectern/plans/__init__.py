@@ -1 +1,6 @@
+"""Registered queries over the test tables."""
 
+from lectern.plans import builds, queries
+from lectern.plans.registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "builds", "queries"]

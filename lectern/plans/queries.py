@@ -9,22 +9,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions import ids, measures, replies, text
 from lectern.operators import evaluate, graph, layers, mcq, qa, resolve, segment, tasks
+from lectern.plans.registry import query
 from lectern.plans.standin import CHAIN, EDGES, edges, part_chain, school, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # ---- layered distractors
 
 
@@ -127,8 +114,8 @@ def _tests_graph(spark, d):
     part, lines = table(spark, d, "part"), table(spark, d, "lineitem")
     key = lambda c: F.concat(F.lit("p"), c.cast("string"))
     nodes = part.select(key(F.col("p_partkey")).alias("id"), F.concat(F.lit("Concept "), F.col("p_type")).alias("label"), F.col("p_name").alias("name"), F.col("p_partkey").alias("ord"))
-    labels = tuple(f"Concept {r[0]}" for r in part.select("p_type").distinct().collect())
-    mapping = resolve.canonical_ids(nodes, labels)
+    # names are merged within a type, and a type is a graph of its own here
+    mapping = resolve.canonical_ids(nodes.withColumns({"kind": F.col("label"), "label": F.lit("Concept")}), by=("kind",)).drop("kind")
     orders = lines.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("id")).distinct().select("id", F.lit("Exercise").alias("label"), F.col("id").alias("name"), F.lit(0).cast("long").alias("ord"))
     e = lines.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("source"), key(F.col("l_partkey")).alias("target"), F.lit("tests_concept").alias("type"), F.col("l_linenumber").cast("long").alias("ord"))
     return e, nodes.unionByName(orders), mapping
@@ -149,21 +136,12 @@ def aggregated_explode(spark, d):
     return resolve.pairs(resolve.aggregated(resolve.rebuild_edges(e, mapping, nodes)))
 
 
-@query("""SELECT 5 AS rule_no, 'dangling source' AS rule, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT p_partkey FROM part) HAVING count(*) > 0
-UNION ALL SELECT 6, 'dangling or blank target', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT p_partkey FROM part) HAVING count(*) > 0""")
-def graph_violations(spark, d):
-    """Broken rules of a graph whose edges leave its nodes."""
-    nodes = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"))
-    e = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("source"), F.col("l_suppkey").cast("string").alias("target"), F.lit("x").alias("type"))
-    return resolve.violations(nodes, e)
-
-
-@query("""WITH prev AS (SELECT n_regionkey || '_' || n_nationkey AS source, lead(n_regionkey || '_' || n_nationkey) OVER (ORDER BY n_nationkey) AS target FROM nation)
+@query("""WITH prev AS (SELECT n_regionkey || '_' || n_nationkey AS source, lead(n_regionkey || '_' || n_nationkey) OVER (ORDER BY n_regionkey, n_nationkey) AS target FROM nation)
 SELECT source, target FROM prev WHERE target IS NOT NULL AND split_part(source, '_', 1) = split_part(target, '_', 1)""")
 def leads_to_carried(spark, d):
     """Edges of a previous graph that stay within one subject."""
-    n = table(spark, d, "nation").select(F.concat_ws("_", "n_regionkey", "n_nationkey").alias("id"), "n_nationkey")
-    prev = n.select(F.col("id").alias("source"), F.lead("id").over(Window.orderBy("n_nationkey")).alias("target"), F.lit("leads_to").alias("type")).where("target IS NOT NULL")
+    n = table(spark, d, "nation").select(F.concat_ws("_", "n_regionkey", "n_nationkey").alias("id"), "n_regionkey", "n_nationkey")
+    prev = n.select(F.col("id").alias("source"), F.lead("id").over(Window.orderBy("n_regionkey", "n_nationkey")).alias("target"), F.lit("leads_to").alias("type")).where("target IS NOT NULL")
     return resolve.carried_edges(prev.limit(0), prev, n, cross_subject=False).select("source", "target")
 
 
@@ -191,12 +169,6 @@ def section_ancestors(spark, d):
     return graph.ancestors(_structure(spark, d)[1])
 
 
-@query("SELECT DISTINCT l_partkey AS source, l_suppkey AS target FROM lineitem")
-def appears_in(spark, d):
-    """Part-to-supplier edges, each once."""
-    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("target")).distinct()
-
-
 @query("""SELECT l_partkey AS node, min_by(l_suppkey, (n_regionkey * 1000 + s_nationkey)::BIGINT * 100000000 + l_suppkey) AS place
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY l_partkey""")
 def earliest_location(spark, d):
@@ -252,10 +224,10 @@ def cycle_members(spark, d):
     return graph.on_cycle(_ring(spark, d))
 
 
-@query(f"WITH e AS ({RING}), n AS (SELECT p_brand, p_size, count(*) AS k, string_agg(p_partkey, '>' ORDER BY p_partkey) AS cycle FROM part GROUP BY ALL) SELECT cycle, k AS length FROM n WHERE k BETWEEN 2 AND 4 ORDER BY cycle LIMIT 200")
+@query(f"WITH e AS ({RING}), n AS (SELECT p_brand, p_size, count(*) AS k, string_agg(p_partkey, '>' ORDER BY p_partkey) AS cycle FROM part GROUP BY ALL) SELECT cycle, k AS length FROM n WHERE k >= 2 ORDER BY cycle LIMIT 200")
 def cycle_list(spark, d):
-    """Rings of two to four parts, at most 200, in order."""
-    return graph.cycles(_ring(spark, d), longest=4)
+    """Rings of two parts or more, the first 200 in order."""
+    return graph.cycles(_ring(spark, d))
 
 
 @query("""WITH p AS (SELECT n_nationkey AS node, n_regionkey AS scope FROM nation) SELECT a.node, b.node AS other FROM p a JOIN p b ON a.scope = b.scope AND b.node < a.node""")
@@ -419,8 +391,9 @@ def seeded_sample(spark, d):
 
 @query()
 def seeded_replay(spark, d):
-    """The mix's rows of each task by Python's seeded shuffle."""
-    return qa.replayed_sample(_tasks(spark, d)).select("task", "ord")
+    """The mix's share of each part file of a task by Python's seeded shuffle."""
+    part = F.concat_ws("/", "task", F.floor(F.col("ord") / 1000).cast("string"))
+    return qa.replayed_sample(_tasks(spark, d).withColumn("file", part)).select("task", "ord")
 
 
 @query("""WITH e AS (SELECT l_orderkey AS source, p_name AS t, min(l_linenumber) AS o FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)
@@ -444,9 +417,11 @@ def part_merge(spark, d):
 length(regexp_replace(answer, '\s+', '', 'g')) >= 20 AS analysis_ok FROM q""")
 def analysis_lengths(spark, d):
     """Length rules on answers."""
-    t = F.length(text.without_space(F.col("answer")))
-    steps = (t >= 40).cast("int") + (t >= 80).cast("int") + (t >= 140).cast("int")
-    return _pairs(spark, d).select("conv_id", "turn", steps.alias("steps"), measures.emits_analysis(F.col("answer")).alias("analysis_ok"))
+    a = F.col("answer")
+    # an analysis that is its own answer is aligned; without connectives and structure marks the rest of the score are the steps
+    score = measures.analysis_score(a, a)
+    marks = a.rlike(measures.CONNECTIVES).cast("int") + a.rlike(measures.STRUCTURE).cast("int") + measures.aligned(a, a).cast("int")
+    return _pairs(spark, d).select("conv_id", "turn", (score - marks).alias("steps"), measures.emits_analysis(a).alias("analysis_ok"))
 
 
 @query()
@@ -462,12 +437,16 @@ def exercise_modes(spark, d):
 
 @query(r"""WITH h AS (SELECT page_id AS id, regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>') AS tags FROM pages), u AS (SELECT id, generate_subscripts(tags, 1) AS k, unnest(tags) AS tag FROM h)
 SELECT id, k::INTEGER AS "at", regexp_extract(lower(tag), '^<h([1-6])', 1)::INTEGER AS level, trim(regexp_replace(regexp_replace(tag, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM u""")
-def heading_segments(spark, d):
+def html_headings(spark, d):
     """Headings of pages, in order."""
     return segment.html_headings(table(spark, d, "pages"))
 
 
-@query()
+@query(r"""WITH l AS (SELECT conv_id, turn, generate_subscripts(x, 1) AS k, unnest(x) AS line FROM (SELECT conv_id, turn, string_split(turn + 1 || '. ' || coalesce(text, ''), chr(10)) AS x FROM conversations)),
+s AS (SELECT *, count(*) FILTER (regexp_matches(line, '^\s*\d+\s*[.、]')) OVER (PARTITION BY conv_id ORDER BY turn, k) AS q FROM l),
+b AS (SELECT conv_id, q, min(turn) AS turn, min_by(line, turn * 100000 + k) AS head, string_agg(CASE WHEN regexp_matches(line, '^\s*\d+\s*[.、]') THEN regexp_replace(line, '^\s*\d+\s*[.、]\s*', '') ELSE line END, chr(10) ORDER BY turn, k) AS raw FROM s GROUP BY conv_id, q),
+n AS (SELECT *, row_number() OVER (ORDER BY conv_id, q) AS g, trim(regexp_replace(regexp_replace(raw, '[ \t]+', ' ', 'g'), chr(10) || '{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) AS stem FROM b)
+SELECT 's' || conv_id || '_t' || g AS question_id, regexp_extract(head, '^\s*(\d+)', 1)::INTEGER AS question_no_in_source, g AS global_no, md5(stem) AS stem FROM n WHERE stem <> ''""")
 def question_blocks(spark, d):
     """Numbered questions of sections made of conversation turns."""
     rows = table(spark, d, "conversations").withColumn("line", F.concat((F.col("turn") + 1).cast("string"), F.lit(". "), F.col("text")))
@@ -476,16 +455,6 @@ def question_blocks(spark, d):
     return segment.kept_questions(segment.questions(sections)).select("question_id", "question_no_in_source", "global_no", F.md5("stem").alias("stem"))
 
 
-@query()
-def mcq_build(spark, d):
-    """Multiple-choice questions on the parts of an order, by order priority."""
-    e = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.col("l_linenumber").alias("n"), "p_name", "p_brand")
-    names = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("n", c))), lambda r: r[c])
-    rows = e.groupBy("l_orderkey").agg(names("p_name").alias("answer_names"), names("p_brand").alias("candidate_names")).join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    made = mcq.build(rows.select(F.col("l_orderkey").cast("string").alias("id"), F.lit("Which parts?").alias("question"), "answer_names", "candidate_names", F.col("l_orderkey").alias("ord"), F.col("o_orderpriority").alias("file")))
-    return made.select("id", "question", F.array_join("answer", ",").alias("answer"), *[F.element_at("options", x).alias(f"option_{x.lower()}") for x in "ABCD"])
-
-
 # ---- benchmark tasks
 
 
@@ -495,7 +464,7 @@ def _task(name: str):
         parts = tasks.TASKS[name](g)
         named = g.nodes.select(F.col("id").alias("node"), "label", "name")
         score = F.round(ids.template_index("sim", F.concat_ws("|", "query", "node"), 1000) / 1000, 3)
-        rows = parts.candidates.join(named, "node").withColumns({"sim_score": score, "sim_question": score, "sim_answer": score})
+        rows = tasks.filled(g, parts).join(named, "node").withColumns({"sim_score": score, "sim_question": score, "sim_answer": score})
         kept = layers.layered(rows, parts.answers.join(named, "node"), parts.blocked, parts.labels, parts.stop_at)
         return kept.select("query", "layer", "node", "name", F.col("rank").cast("long").alias("rank"), "sim_score")
 

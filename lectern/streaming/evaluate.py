@@ -12,13 +12,14 @@ from lectern.operators import evaluate
 
 
 def questions(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of question files (id, prompt, gold)."""
-    return spark.readStream.schema("id string, prompt string, gold array<string>").json(path)
+    """A stream of question files (id, prompt, gold) with ``file``, the path that a question came from."""
+    rows = spark.readStream.schema("id string, prompt string, gold array<string>").json(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def run(rows: DataFrame, model: Callable[[str], str], out: str, checkpoint: str) -> StreamingQuery:
-    """Scored answers appended to Parquet under ``out``; the checkpoint remembers which files are done."""
-    scored = evaluate.scored(evaluate.answered(rows, model)).withColumn("file", F.lit(out))
+    """Scored answers, with their file, appended to Parquet under ``out``; the checkpoint remembers which files are done."""
+    scored = evaluate.scored(evaluate.answered(rows, model))
     return scored.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 

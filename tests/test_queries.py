@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from lectern.plans.queries import QUERIES, SQL
+from lectern.plans import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
