@@ -72,7 +72,7 @@ class Language:
         self.wide = len(alphabet) + 1
         column = {c: i for i, c in enumerate(alphabet)}
         nexts, _ = automaton(sample)
-        self.states, self.grid = len(nexts), None
+        self.states, self.grid, self.steps = len(nexts), None, None
         keys = np.fromiter((state * self.wide + column[c] for state, step in enumerate(nexts) for c in step), np.int64)
         to = np.fromiter((t for step in nexts for t in step.values()), np.int32, len(keys))
         order = np.argsort(keys)
@@ -95,56 +95,86 @@ class Language:
 
     def numbers(self, points: np.ndarray) -> np.ndarray:
         """Numbers of code points."""
-        at = np.minimum(np.searchsorted(self.codes, points), max(0, len(self.codes) - 1))
-        return np.where(self.codes[at] == points, at, self.wide - 1) if len(self.codes) else np.zeros(len(points), np.int64)
+        if not len(self.codes):
+            return np.zeros(len(points), np.int64)
+        top = int(self.codes[-1]) + 1
+        table = np.full(top + 1, self.wide - 1, np.int64)
+        table[self.codes] = np.arange(len(self.codes))
+        return table[np.minimum(points, top)]
 
-    def parse(self, c: np.ndarray, begin: np.ndarray, stop: np.ndarray, end: np.ndarray, mark: np.ndarray | None = None, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Greedy parse from each of ``begin``: (phrases that start before ``stop``, start of the first phrase at or after it).
+    def pieces(self, c: np.ndarray, begin: np.ndarray, stop: np.ndarray, end: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy parse of each piece from its start: (phrases that start in it, start of the first phrase after it).
 
-        ``end`` is the end of the text. With ``mark`` and no ``base``, the number of each phrase start is written into
-        mark. With ``base``, (phrases, next start) of the parse that wrote it, a parse that meets one of its starts
-        ends there, as both go on alike.
+        ``end`` is the end of the text. The number of each phrase start in its piece is written into mark.
         """
-        n = len(begin)
-        pos, state, count, after = begin.copy(), np.zeros(n, np.int64), np.zeros(n, np.int64), begin.copy()
+        order = np.argsort(begin - stop, kind="stable")
+        first, size = begin[order], (stop - begin)[order]
+        state, count = np.zeros(len(order), np.int64), np.ones(len(order), np.int64)
+        mark[first] = 0
+        for step in range(int(size[0]) if len(size) else 0):
+            live = int(np.searchsorted(-size, -step, "left"))
+            here = c[first[:live] + step]
+            to = self.follow(state[:live], here)
+            cut = np.flatnonzero(to < 0)
+            if len(cut):
+                # a match ends here and a phrase starts; one that starts with an unknown character ends with it
+                at = cut[state[cut] != 0]
+                mark[first[at] + step] = count[at]
+                count[at] += 1
+                again = self.follow(np.zeros(len(cut), np.int64), here[cut])
+                to[cut] = np.maximum(again, 0)
+                lone = cut[again < 0]
+                lone = lone[size[lone] > step + 1]
+                mark[first[lone] + step + 1] = count[lone]
+                count[lone] += 1
+            state[:live] = to
+        after = stop[order]
+        live = np.flatnonzero((state != 0) & (after < end[order]))
+        while len(live):  # the last phrase may end in the next piece
+            to = self.follow(state[live], c[after[live]])
+            live, to = live[to >= 0], to[to >= 0]
+            state[live] = to
+            after[live] += 1
+            live = live[after[live] < end[order[live]]]
+        out = np.empty((2, len(order)), np.int64)
+        out[0, order], out[1, order] = count, after
+        return out[0], out[1]
+
+    def parse(self, c: np.ndarray, begin: np.ndarray, stop: np.ndarray, end: np.ndarray, mark: np.ndarray, base: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """As pieces(), from starts within or after the pieces.
+
+        base: what pieces() gave. A parse that meets one of its phrase starts ends there, as both go on alike.
+        """
+        pos, state, count = begin.copy(), np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
         live = np.flatnonzero(begin < end)
         while len(live):
             p, s = pos[live], state[live]
-            fresh = s == 0
             to = np.full(len(live), -1, np.int64)
-            inner = np.flatnonzero(~fresh)
+            inner = np.flatnonzero(s != 0)
             to[inner] = self.follow(s[inner], c[p[inner]])
-            begins = np.flatnonzero(to < 0)  # a phrase starts here: at the entry, after an unknown character, or where a match ends
-            done = begins[p[begins] >= stop[live[begins]]]
-            begins = begins[p[begins] < stop[live[begins]]]
-            if base is not None and len(begins):
-                met = begins[mark[p[begins]] >= 0]
-                if len(met):
-                    which = live[met]
-                    count[which] += base[0][which] - mark[p[met]]
-                    pos[which] = base[1][which]
-                    begins = begins[mark[p[begins]] < 0]
-            else:
-                met = begins[:0]
-            if mark is not None and base is None:
-                mark[p[begins]] = count[live[begins]]
-            count[live[begins]] += 1
-            again = self.follow(np.zeros(len(begins), np.int64), c[p[begins]])
-            to[begins] = np.maximum(again, 0)  # an unknown character is a phrase of its own
+            starts = np.flatnonzero(to < 0)  # a phrase starts here: at the entry, after an unknown character, or where a match ends
+            inside = p[starts] < stop[live[starts]]
+            done, starts = starts[~inside], starts[inside]
+            same = mark[p[starts]] >= 0
+            met, starts = starts[same], starts[~same]
+            count[live[met]] += base[0][live[met]] - mark[p[met]]
+            pos[live[met]] = base[1][live[met]]
+            count[live[starts]] += 1
+            to[starts] = np.maximum(self.follow(np.zeros(len(starts), np.int64), c[p[starts]]), 0)
             keep = np.ones(len(live), bool)
             keep[done] = keep[met] = False
-            moved = live[keep]
-            pos[moved] += 1
-            state[moved] = to[keep]
-            live = moved[pos[moved] < end[moved]]
-        after[:] = pos
-        return count, after
+            live = live[keep]
+            pos[live] += 1
+            state[live] = to[keep]
+            live = live[pos[live] < end[live]]
+        return count, pos
 
     def phrases(self, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Phrases of each text; text k has the characters first[k] to first[k] + size[k].
 
         All pieces are parsed from their own start at once. Then each is entered where the parse of the piece
-        before left it, which soon meets a start of its own parse; this is repeated until no entry changes.
+        before left it, which soon meets a start of its own parse. The few pieces where this does not settle, those
+        of periodic texts, are walked in order.
         """
         c = self.numbers(points)
         number, of = W.runs(np.zeros(len(size), np.int64), -(-size // PIECE))
@@ -152,20 +182,53 @@ class Language:
         end = (first + size)[of]
         stop = np.minimum(begin + PIECE, end)
         mark = np.full(len(points), -1, np.int64)
-        base = self.parse(c, begin, stop, end, mark)
+        base = self.pieces(c, begin, stop, end, mark)
         count, after, entry = base[0].copy(), base[1].copy(), begin.copy()
         inner = np.flatnonzero(number > 0)
-        while True:
-            given = after[inner - 1]
-            changed = inner[entry[inner] != given]
-            if not len(changed):
-                break
-            entry[changed] = after[changed - 1]
-            count[changed], after[changed] = self.parse(c, entry[changed], stop[changed], end[changed], mark, (base[0][changed], base[1][changed]))
-            passed = changed[entry[changed] >= stop[changed]]
-            count[passed], after[passed] = 0, entry[passed]
+        changed = inner[entry[inner] != after[inner - 1]]
+        entry[changed] = after[changed - 1]
+        count[changed], after[changed] = self.parse(c, entry[changed], stop[changed], end[changed], mark, (base[0][changed], base[1][changed]))
+        changed = inner[entry[inner] != after[inner - 1]]
+        if len(changed):
+            ends = np.append(np.flatnonzero(np.diff(of)), len(of) - 1)
+            last = ends[np.searchsorted(ends, np.arange(len(of)))]  # the last piece of each piece's text
+            done = -1
+            for k in changed.tolist():
+                while done < k <= last[k] and entry[k] != after[k - 1]:
+                    entry[k] = after[k - 1]
+                    count[k], after[k] = self.walk(c, int(entry[k]), int(stop[k]), int(end[k]), mark, int(base[0][k]), int(base[1][k]))
+                    done = k
+                    if k == last[k]:
+                        break
+                    k += 1
         return np.bincount(of, weights=count, minlength=len(size)).astype(np.int64)
 
+    def walk(self, c: np.ndarray, at: int, stop: int, end: int, mark: np.ndarray, total: int, leaves: int) -> tuple[int, int]:
+        """As parse() with a base, for one piece, character by character."""
+        upto = min(end, stop + len(self.keys))
+        codes, marks = c[at:upto].tolist(), mark[at:stop].tolist()
+        step = memoryview(self.grid) if self.grid is not None else None
+        if step is None and self.steps is None:
+            self.steps = dict(zip(self.keys.tolist(), self.to.tolist(), strict=True))
+        wide, state, count, p = self.wide, 0, 0, 0
+        while p < len(codes):
+            if not state:
+                if at + p >= stop:
+                    return count, at + p
+                if marks[p] >= 0:
+                    return count + total - marks[p], leaves
+                count += 1
+            key = state * wide + codes[p]
+            to = step[key] if step is not None else self.steps.get(key, -1)
+            if to >= 0:
+                state = to
+                p += 1
+            elif state:
+                state = 0
+            else:
+                p += 1  # an unknown character is a phrase of its own
+        return count, at + p
+
 
 _FOUND = "best string, low double, rest double, known boolean"
 
@@ -175,7 +238,7 @@ def _measure(block, with_text: bool):
 
     def run(batches):
         languages = [x.opened() for x in block.value]
-        for rows, _, _ in W.texts(batches):
+        for rows, _, _ in W.texts(batches, size=2 * W.SLICE_BYTES):  # more pieces side by side
             points, size = _points([t or "" for t in rows.column("text").to_pylist()])
             first = np.cumsum(size) - size
             rate = np.stack([x.phrases(points, first, size) for x in languages]) / np.maximum(1, size)

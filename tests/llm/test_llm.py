@@ -115,14 +115,16 @@ def test_fm_index_counts_by_backward_search():
 # ---- 2
 
 
-def test_cross_parsing_counts_longest_matches():
+@pytest.mark.parametrize("piece, dense", [(7, 1 << 24), (16, 0), (256, 1 << 24)])
+def test_cross_parsing_counts_longest_matches(monkeypatch, piece, dense):
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "DENSE", dense)
     rng = random.Random(3)
-    samples = {"a": "".join(rng.choice("abc ") for _ in range(300)), "b": "".join(rng.choice("bcde ") for _ in range(300))}
-    model = language.tables(samples)
-    column = {chr(c): i for i, c in enumerate(model["codes"])}
-    texts = ["".join(rng.choice("abcdexyz ") for _ in range(rng.randrange(60))) for _ in range(200)]
+    sample = "".join(rng.choice("abc ") for _ in range(400))
+    texts = ["".join(rng.choice("abcabcabcdx ") for _ in range(rng.choice([0, 1, 5, 60, 900]))) for _ in range(80)]
+    texts += [sample, sample[20:300] * 2, "abc " * 300, "ab" * 700, sample[50:90] * 30, "x" * 600]  # periodic texts settle in no piece
 
-    def plain(sample, text):
+    def plain(text):
         n = i = 0
         while i < len(text):
             j = i + 1
@@ -132,8 +134,22 @@ def test_cross_parsing_counts_longest_matches():
         return n
 
     size = np.array([len(t) for t in texts])
-    got = language.phrases(model, np.array([column.get(c, len(column)) for c in "".join(texts)], np.int64), size, np.cumsum(size) - size)
-    assert got.tolist() == [[plain(samples[k], t) for t in texts] for k in "ab"]
+    points = np.array([ord(c) for c in "".join(texts)], np.uint32)
+    assert language.Language("l", sample).opened().phrases(points, np.cumsum(size) - size, size).tolist() == [plain(t) for t in texts]
+
+
+def test_languages_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(language, "BLOCK", 16)
+    rng = random.Random(8)
+    words = {f"l{k:02}": ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(12)] for k in range(70)}
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    rows = [(i * 100 + j, text(k, 40 if j else 3000), k, 1.0) for i, k in enumerate(words) for j in range(3)]
+    rows += [(90_000 + i, text(k, 30), None, 0.0) for i, k in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _lang double").withColumn("_most", F.lit(1))
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, F.lit(False)).collect()}
+    assert len(got) == len(rows) and all(got[90_000 + i] == k for i, k in enumerate(words))
+    long = docs.where("length(text) > 10000").withColumn("lang", F.coalesce("lang", F.lit("x")))
+    assert {r.lang_pred for r in language.identify(long, F.lit(False)).collect()} == set(words)
 
 
 def test_language(spark):
@@ -191,6 +207,10 @@ def test_proximity(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     near = lambda slop: {r.id for r in phrases.search(docs, items, slop=slop).where("size(matches) > 0").collect()}
     assert near(0) == {1} and near(1) == {1, 2} and near(6) == {1, 2, 3}
+    # the rarest term comes first in its document, where the phrase would begin in the one before
+    docs = spark.createDataFrame([(1, "u v w x y"), (2, "r x y")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "x r y")], "item_id long, text string")
+    assert near(2) == {2}
 
 
 # ---- 4
@@ -302,7 +322,10 @@ def test_mixing(spark):
     again = mixing.mix(docs.repartition(7), {"big": 1.0, "small": 3.0})
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mix(docs, {"none": 1.0}).count() == 0
-    assert mixing.mix(docs).where("source IS NULL").count() >= 60  # one row, at the largest rate
+    assert mixing.mix(docs, max_rate=64.0).where("source IS NULL").count() < 120  # one row, at a rate of 64 at most
+    assert abs(mixing.mix(docs).where("source IS NULL").count() - 3001 / 3) < 150  # without a bound, by a sum of draws
+    odd = docs.withColumns({c: F.lit("own") for c in ("_cdf", "_u", "_n", "_mixn", "_source")})
+    assert mixing.mix(odd).where("_u = 'own' AND _mixn = 'own'").count() == mixing.mix(docs).count()
 
 
 def test_poisson_cdf(spark):
@@ -376,6 +399,14 @@ def test_quality_agrees_with_labels(spark):
     assert sum(kept) >= 0.98 * len(kept) and sum(gone) >= 0.8 * len(gone)
 
 
+def test_copies_crowd_nothing_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    copies = spark.range(20_000).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("One short sentence.").alias("text"))
+    one = quality.fit(docs.unionByName(copies.limit(1)))
+    many = quality.fit(docs.unionByName(copies).repartition(5))
+    assert one["bias"] == many["bias"] and (one["weights"] == many["weights"]).all() and (one["weights"] != 0).any()
+
+
 def test_quality_of_odd_rows(spark):
     odd = spark.createDataFrame([(1, None, 1.0), (2, "", 2.0), (None, "x", 3.0), (2, "", 2.0)], "doc_id long, text string, quality_score double")
     got = quality.classify(odd)
