@@ -1,8 +1,10 @@
 """Secret scans: pattern candidates, and a random forest that removes false positives.
 
-The forest sees a candidate's length and character transitions, how much of it
-dictionary words cover, the path it came from and its neighbouring words. It learns
-from labelled findings; a seeded maker of such findings stands in where none are given.
+The forest sees a candidate's length and character transitions, how much of it the
+letter trigrams of words cover, the path it came from and its neighbouring words. The
+trigrams are those usual in the whole corpus and in the findings' surroundings, the same
+in training and in use. It learns from labelled findings; a seeded maker of such findings
+stands in where none are given.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.llm import words as W
 from lectern.llm.tables import small_batches
 
 #: Characters of a candidate that no keyword names, and of the text before and after it that count as neighbours.
@@ -25,6 +28,8 @@ SHORTEST, NEIGHBOURS = 16, 64
 #: Labelled findings at most, trees and depth of the forest, and the probability from which a candidate is a secret.
 FINDINGS, TREES, DEPTH, LEVEL = 20_000, 40, 8, 0.5
 REDACTED = "[SECRET]"
+#: Share of all letter trigrams that the usual ones make up.
+USUAL = 0.9
 
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+={0,2}+(?![A-Za-z0-9_+/-])")
 _DIGIT = re.compile(r"[0-9]")
@@ -85,6 +90,36 @@ def dictionary(text: str) -> set[str]:
     return out
 
 
+def _trigram_counts(batches):
+    """Counts of all runs of three letters a to z, in lower case, of the texts of a task: 26 ** 3 numbers at most."""
+    total = np.zeros(26**3, np.int64)
+    for _, data, bounds in W.texts(batches):
+        letter = W.lowered(data).astype(np.int64) - 97
+        inside = (letter >= 0) & (letter < 26)
+        row_ends = np.zeros(len(data) + 1, bool)
+        row_ends[bounds] = True
+        # no run crosses from one text into the next
+        runs = inside[:-2] & inside[1:-1] & inside[2:] & ~row_ends[1:-2] & ~row_ends[2:-1] if len(data) > 2 else np.zeros(0, bool)
+        at = np.flatnonzero(runs)
+        total += np.bincount(letter[at] * 676 + letter[at + 1] * 26 + letter[at + 2], minlength=26**3)
+    seen = np.flatnonzero(total)
+    yield pa.record_batch({"code": pa.array(seen), "c": pa.array(total[seen])})
+
+
+def usual_trigrams(docs: DataFrame, text_col: str = "text") -> set[str]:
+    """The most frequent letter trigrams of all texts that together make up USUAL of all their trigrams."""
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_trigram_counts, "code long, c long")
+    counts = rows.groupBy("code").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "code").collect()
+    until, out = 0, set()
+    whole = sum(r[1] for r in counts)
+    for code, c in counts:
+        if until >= USUAL * whole:
+            break
+        out.add("".join(chr(97 + x) for x in (code // 676, code // 26 % 26, code % 26)))
+        until += c
+    return out
+
+
 def assigned(text: str):
     """(start, end) of every value assigned to a keyword, whatever its length and characters; full stops and colons after an unquoted one aside."""
     done = 0
@@ -158,16 +193,25 @@ def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, st
     return out
 
 
-def fit(spark: SparkSession, findings: DataFrame | None = None):
-    """Random forest on labelled findings (token, before, after, path, label 0 or 1); FINDINGS rows of them at most."""
+def labelled(findings: DataFrame | None) -> list[tuple]:
+    """Labelled findings (token, before, after, path, label 0 or 1), FINDINGS of them at most; made ones where none are given."""
+    if findings is None:
+        return made_findings()
+    rows = findings.select("token", "before", "after", "path", F.col("label").cast("int")).where("token <> '' AND label IS NOT NULL")
+    return [tuple(r) for r in rows.orderBy(F.xxhash64("token"), "before", "label").limit(FINDINGS).collect()]
+
+
+def known_trigrams(rows: list[tuple]) -> set[str]:
+    """Trigrams of the words around findings."""
+    return dictionary(" ".join(f"{before} {after}" for _, before, after, _, _ in rows))
+
+
+def fit(spark: SparkSession, rows: list[tuple], known: set[str]):
+    """Random forest on labelled findings; ``known``: the trigrams that count as those of words."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    if findings is None:
-        rows = made_findings()
-    else:
-        rows = [tuple(r) for r in findings.select("token", "before", "after", "path", F.col("label").cast("int")).where("token <> '' AND label IS NOT NULL").orderBy(F.xxhash64("token"), "before", "label").limit(FINDINGS).collect()]
-    values = [(*describe(t, b or "", a or "", p or "", dictionary(f"{b} {a}")), float(y)) for t, b, a, p, y in rows]
+    values = [(*describe(t, b or "", a or "", p or "", known), float(y)) for t, b, a, p, y in rows]
     shape = ", ".join(f"{n} double" for n in (*FEATURES, "label"))
     frame = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spark.createDataFrame(values, shape).coalesce(1))
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featureSubsetStrategy="sqrt").fit(frame)
@@ -212,7 +256,7 @@ def probability(trees, x: np.ndarray) -> np.ndarray:
 
 def _scan(trees):
     def run(batches):
-        forest = trees.value
+        forest, known = trees.value
         for b in batches:
             texts, paths = b.column("_secret_text").to_pylist(), b.column("_secret_path").to_pylist()
             found, rows, x = [], [], []
@@ -220,9 +264,6 @@ def _scan(trees):
                 spans = list(candidates(text or ""))
                 if not spans:
                     continue
-                # a candidate is no word of its own text
-                rest = " ".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)], strict=True))
-                known = dictionary(" ".join(w for w in rest.split() if len(w) < SHORTEST))
                 for s, e in spans:
                     found.append((s, e))
                     rows.append(i)
@@ -256,7 +297,9 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "te
     kept = docs.drop("secret_candidates", "secrets", "redacted")
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit(None).cast("string")
     rows = kept.withColumns({"_secret_text": F.col(text_col).cast("string"), "_secret_path": path})
-    trees = docs.sparkSession.sparkContext.broadcast(flat_trees(fit(docs.sparkSession, findings)))
+    found = labelled(findings)
+    known = usual_trigrams(docs, text_col) | known_trigrams(found)
+    trees = docs.sparkSession.sparkContext.broadcast((flat_trees(fit(docs.sparkSession, found, known)), known))
     more = T._parse_datatype_string("secret_candidates long, secrets array<struct<start:int,end:int,probability:double>>, redacted string")
     return rows.mapInArrow(_scan(trees), T.StructType([*kept.schema.fields, *more.fields]))
 
