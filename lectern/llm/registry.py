@@ -36,6 +36,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(_docs(spark, sf_dir), rest == 2)
 
 
+def op4_lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the base score of op4, rounded, which SQL can give too."""
+    return op4_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ogg round trip of every text."""
     read = media.read_ogg(media.to_ogg(_docs(spark, sf_dir)))
@@ -91,7 +96,59 @@ SELECT doc_id, source, lang, text, copy::INTEGER AS mix_copy,
 FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM whole WHERE n > 0)
 """
 
+#: Words of the contracts, and lower case of A-Z alone.
+_SPACED, _ALNUM = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+firsts AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts ON windows.h = firsts.h WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM w),
+kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.p) AS kept, count(*) AS n FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p WHERE gone.p IS NULL GROUP BY words.doc_id)
+SELECT w.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+queries AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS q FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM queries),
+places AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS q FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN sizes ON len(w) >= k)),
+found AS (SELECT doc_id, item, places.k AS k, i FROM places JOIN queries ON places.k = queries.k AND places.q = queries.q),
+hits AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
+#: crc32 of the digits of an id, by the table of its bytes.
+_CRC = """tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(0, 256))::BIGINT AS i)),
+crc AS (SELECT doc_id, text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS crc FROM documents, tab)"""
+
+OP4_BASE_SQL = f"""
+WITH {_CRC},
+tokens AS (SELECT doc_id, crc % 7 = 2 AS held_out, unnest(list_append(regexp_extract_all({_LOWER}, '{_SPACED}'), '')) AS token FROM crc),
+counts AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token),
+whole AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM counts)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens, round(sum(log10((coalesce(c, 0) + 1) / (n + 1 * (v + 1))::DOUBLE)), 4) AS base_score
+FROM tokens LEFT JOIN counts ON tokens.token = counts.token, whole GROUP BY doc_id, held_out
+"""
+
+OP9_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(other), w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN reach ON w.doc_id = reach.doc_id GROUP BY w.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op5_media_columns, op6_mixing, op7_secret_scans, op8_quality, op9_ngram_jaccard, op10_token_counts)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op4_lm_base, op5_media_columns, op6_mixing, op7_secret_scans, op8_quality, op9_ngram_jaccard, op10_token_counts)
 }
-SQL = {"op6_mixing": OP6_SQL}
+SQL = {"op1_substring_dedup": OP1_SQL, "op3_decontamination": OP3_SQL, "op4_lm_base": OP4_BASE_SQL, "op6_mixing": OP6_SQL, "op9_ngram_jaccard": OP9_SQL}

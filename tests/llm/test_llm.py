@@ -233,21 +233,36 @@ def test_exchange_ends_where_no_move_helps():
     assert all(likelihood(moved(w, c)) <= likelihood(of) + 1e-9 for w in range(n) for c in range(3))
 
 
-def test_scores(spark, monkeypatch):
-    monkeypatch.setattr(brown, "COMMON", 40)
+@pytest.mark.parametrize("common", [40, 100_000])
+def test_scores(spark, monkeypatch, common):
+    monkeypatch.setattr(brown, "COMMON", common)
     monkeypatch.setattr(brown, "VOCABULARY", 20)
-    rows = corpus()
+    monkeypatch.setattr(brown, "CLASSES", 6)
+    rows = [*corpus(), (None, "a b"), (500, "unseen1 unseen2 w1")]
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    got = {r.doc_id: r for r in brown.score(table(spark, rows), held).collect()}
+    docs = table(spark, rows).withColumns({"row": F.lit(1), "open": F.lit(2), "word": F.lit(3)})
+    got = {r.doc_id: r for r in brown.score(docs, held).collect()}
     split = lambda t: [*SPACED.findall((t or "").translate(LOWER)), None]
-    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    out = lambda i: i is None or zlib.crc32(str(i).encode()) % 7 == 2
     c = Counter(w for i, t in rows if not out(i) for w in split(t))
     n, v = sum(c.values()), len(c)
+    # the same model, word by word
+    model, lexicon = brown.fit(docs.where(~F.coalesce(held, F.lit(True))))
+    hashed = lambda w: int(W.span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0].view(np.int64))
+    classes = {r.word: r["class"] for r in lexicon.collect()}
+    assert len(classes) == v - 1 and set(classes.values()) <= set(range(6)) and len(set(classes.values())) > 3
+    assert np.allclose(model.transition.sum(axis=1), 1) and model.class_tokens.sum() == n and model.class_words.sum() == v
+    of = lambda w: model.end if w is None else classes.get(hashed(w), model.unknown)
     for i, t in rows:
-        r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(i), len(split(t)), sum(c[w] > 0 for w in split(t)), n)
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in split(t)))
-        assert r.score < 0
+        r, words = got[i], split(t)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(i), len(words), sum(c[w] > 0 for w in words), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words))
+        score, before = 0.0, None
+        for w in words:
+            k = of(w)
+            score += math.log10((c[w] + 1) * (brown.CLASS_SHARE * model.transition[of(before), k] / (model.class_tokens[k] + model.class_words[k] + 1) + (1 - brown.CLASS_SHARE) / (n + v + 1)))
+            before = w
+        assert r.score == pytest.approx(score) and r.perplexity == pytest.approx(10 ** (-score / len(words)))
     assert brown.score(empty(spark), held).count() == 0
     assert brown.score(table(spark, rows), F.lit(True)).where("n_known > 0").count() == 0
 
@@ -371,12 +386,45 @@ def test_secrets_assigned_without_spaces(spark):
 
 def test_forest_learns_from_given_findings(spark):
     rows = [(f"abcdefgh{i}abcdefgh", "see ", "", "", i % 2) for i in range(10)] + secrets.made_findings(400)
-    model = secrets.fit(spark, spark.createDataFrame(rows, "token string, before string, after string, path string, label int"))
+    given = secrets.labelled(spark.createDataFrame(rows, "token string, before string, after string, path string, label int"))
+    assert sorted(given) == sorted(rows)
+    known = secrets.known_trigrams(given)
+    model = secrets.fit(spark, given, known)
     held = secrets.made_findings(400, seed=77)
-    x = np.array([secrets.describe(t, b, a, p, secrets.dictionary(f"{b} {a}")) for t, b, a, p, _ in held])
+    x = np.array([secrets.describe(t, b, a, p, known) for t, b, a, p, _ in held])
     assert ((secrets.probability(secrets.flat_trees(model), x) >= 0.5) == np.array([y for *_, y in held])).mean() > 0.95
 
 
+def test_usual_trigrams(spark):
+    rows = [(1, "abcd ABC"), (2, "ab"), (3, "cab"), (4, None), (5, ""), (6, "x1yz"), (7, "zzz" * 2)]
+    counts = Counter()
+    for _, t in rows:
+        for w in re.findall("[a-z]+", (t or "").lower()):
+            counts.update(w[i : i + 3] for i in range(len(w) - 2))
+    assert counts == {"abc": 2, "bcd": 1, "cab": 1, "zzz": 4}
+    assert secrets.usual_trigrams(table(spark, rows).coalesce(1)) == {"zzz", "abc", "bcd", "cab"} and secrets.usual_trigrams(empty(spark)) == set()
+
+
+def test_planted_secrets_are_found_and_look_alikes_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source").where("text NOT RLIKE '(?i)token|secret|password|api.?key|credential'")
+    rng = random.Random(12)
+    hex_, base = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    forms = ['api_key = "{}"', "SECRET_KEY={}", "https://a.org/?access_token={}", "password: {}", "Authorization: Bearer {}"]
+    plain = ["sha256: {}", "commit {}", "checksum={}", "etag {}", "see {}"]
+    rows, wanted = [], {}
+    for i, r in enumerate(docs.orderBy("doc_id").limit(400).collect()):
+        words = (r.text or "").split(" ")
+        token = key(base, rng.choice([24, 32, 40])) if i % 2 else key(hex_, 40)
+        at = rng.randrange(len(words) + 1)
+        rows.append((i, " ".join(words[:at] + [(forms if i % 2 else plain)[i // 2 % 5].format(token)] + words[at:]), r.source))
+        wanted[i] = token if i % 2 else None
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    hit = sum(wanted[i] not in got[i].redacted for i in wanted if wanted[i])
+    false = sum(len(got[i].secrets) - (bool(wanted[i]) and wanted[i] not in got[i].redacted) for i in wanted)
+    assert hit >= 0.95 * 200 and false <= 0.05 * (hit + false)
+
+
 # ---- 8
 
 
