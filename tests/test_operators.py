@@ -194,7 +194,7 @@ def test_segments_and_questions(spark):
 
 def test_matched_choices(spark):
     picks = spark.createDataFrame([("e", ["ＦＯＲＣＥ", "mass", "force "])], "id string, picks array<string>")
-    known = spark.createDataFrame([("e", "Force"), ("e", "Work")], "id string, name string")
+    known = spark.createDataFrame([("e", "force", 0), ("e", "Force", 1), ("e", "Work", 2)], "id string, name string, ord long")
     assert [r.names for r in segment.matched_choices(picks, known).collect()] == [["Force"]]
 
 
