@@ -30,6 +30,18 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(norm > 0, (cosine + 1) / 2).otherwise(0.0)
 
 
+def unit(v: Column) -> Column:
+    """A vector over its norm, in double; null where that is 0."""
+    norm = F.sqrt(dot(v, v))
+    return F.when(norm > 0, F.transform(v, lambda x: x.cast("double") / norm))
+
+
+def unit_similarity(a: Column, b: Column) -> Column:
+    """similarity() of vectors that unit() made."""
+    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(a, b)))
+    return F.when(a.isNotNull() & b.isNotNull(), (cosine + 1) / 2).otherwise(0.0)
+
+
 def letters(x: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit("([ABCD])"), 1)))
 

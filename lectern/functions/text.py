@@ -14,6 +14,8 @@ PUNCTUATION_OF_TITLES = r"[\\\s\-—_·•\.。,:：;；，、'\"`~!@#$%^&*+=|<>
 MULTIMODAL_WORDS = ("<table", "</table>", "下图", "图示", "图中", "画图", "下表", "填表")
 EXERCISE_WORDS = ("课后练习", "练习", "习题", "复习题", "复习参考题", "整理和复习", "总复习", "做一做")
 ANALYSIS_LABELS = "分析|思路|解题思路|解析|说明|判断依据"
+HIGH_SCHOOL = r"(选择性必修|必修)\s*第?([一二三四五六七八九十\d]+)\s*册?"
+GRADES = ("([一二三四五六七八九]|[1-9])年级[上下]册", "([一二三四五六七八九]|[1-9])年级", r"(必修|选择性必修|选修)\s*[第一二三四五六七八九十\d]+册")
 DIGITS = {"零": 0, "〇": 0, "一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9}
 
 
@@ -135,6 +137,31 @@ def ordinal(n: Column) -> Column:
     return F.when(n < 1, None).when(n < 10, F.try_element_at(names, n.cast("int"))).when(n < 100, F.concat(ten, one)).otherwise(n.cast("string"))
 
 
+def high_school_grade(book: Column) -> Column:
+    """必修 or 选择性必修 with the Chinese numeral, 1 to 10, of a book's name; null for other books."""
+    t = nfkc(book)
+    number = F.regexp_extract(t, HIGH_SCHOOL, 2)
+    n = numeral(number)
+    return F.when(t.rlike(HIGH_SCHOOL) & n.between(1, 10), F.concat(F.regexp_extract(t, HIGH_SCHOOL, 1), ordinal(n)))
+
+
+def grade(book: Column) -> Column:
+    """Grade that a book's name gives: a high-school course, or a year with its half where it has one; null if none."""
+    t = nfkc(book)
+    found = [F.nullif(F.regexp_extract(t, p, 0), F.lit("")) for p in GRADES]
+    return F.coalesce(high_school_grade(book), *found[:-1], F.replace(found[-1], F.lit(" "), F.lit("")))
+
+
+def output_grade(stage: Column, given: Column, book: Column) -> Column:
+    """Grade under which a book is filed: in middle school the given one if it names a half, else the name's; in high school the course."""
+    raw, own = nfkc(given), grade(book)
+    half = "年级[上下]册"
+    middle = F.when(raw.rlike(half), given).when(own.rlike(half), own)
+    high = F.coalesce(high_school_grade(book), high_school_grade(given))
+    by_stage = F.when(stage == "初中", middle).when(stage == "高中", high)
+    return F.coalesce(by_stage, own, given)
+
+
 def prefixed(number: Column, title: Column, unit: str) -> Column:
     """Title with its ordinal, such as 第一章, unless it has one."""
     name = F.concat(F.lit("第"), F.coalesce(ordinal(numeral(number)), number), F.lit(unit))

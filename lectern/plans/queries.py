@@ -24,10 +24,10 @@ c AS (
     (list_cosine_similarity(v.e, q.qe) + 1) / 2 AS sq, (list_cosine_similarity(v.e, q.ae) + 1) / 2 AS sa
   FROM q JOIN v ON v.label = q.query OR (v.label + 1) % 10 = q.query OR (v.label + 2) % 10 = q.query),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY query, name ORDER BY layer, round((sq + sa) / 2, 9) DESC, node) AS n
+  SELECT *, row_number() OVER (PARTITION BY query, name ORDER BY layer, round((sq + sa) / 2, 9) DESC, round(sq, 9) DESC, round(sa, 9) DESC, node) AS n
   FROM c WHERE node <> a AND name <> an),
 k AS (SELECT *, count(*) OVER (PARTITION BY query ORDER BY layer RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r WHERE n = 1)
-SELECT query, layer, node, name, row_number() OVER (PARTITION BY query, layer ORDER BY round((sq + sa) / 2, 9) DESC, name, node)::BIGINT AS rank
+SELECT query, layer, node, name, row_number() OVER (PARTITION BY query, layer ORDER BY round((sq + sa) / 2, 9) DESC, round(sq, 9) DESC, round(sa, 9) DESC, name, node)::BIGINT AS rank
 FROM k WHERE before < 50
 """
 
@@ -39,7 +39,7 @@ def layered_distractors(spark, d):
     first = v.groupBy(F.col("label").alias("query")).agg(F.min_by(F.struct("node", "name", "vector"), "node").alias("a")).select("query", "a.*")
     rows = v.select("node", "name", "label", F.explode(F.array(*[F.struct(((F.col("label") + i) % 10).alias("query"), F.lit(i + 1).alias("layer")) for i in range(3)])).alias("x")).select("node", "name", F.col("label").cast("string").alias("label"), "x.*")
     scored = layers.scored(rows, first.select("query", "node"), first.select("query", "vector"), v.select("node", "vector"))
-    scored = scored.withColumns({"sim_score": F.round("sim_score", 9), "sim_question": F.lit(0.0), "sim_answer": F.lit(0.0)})
+    scored = scored.withColumns({c: F.round(c, 9) for c in ("sim_score", "sim_question", "sim_answer")})
     kept = layers.layered(scored, first.select("query", "node", "name"), stop_at=50)
     return kept.select("query", "layer", "node", "name", F.col("rank").cast("long").alias("rank"))
 
