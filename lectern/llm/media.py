@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.tables import small_batches
+
 # Fixed values of the Ogg bitstream format (RFC 3533).
 CAPTURE = b"OggS"
 CONTINUED, FIRST, LAST = 1, 2, 4
@@ -162,7 +164,12 @@ def padded(text: bytes, block: int = 64) -> bytes:
 
 
 def to_ogg(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text as an Ogg file: (id, n_bytes, media binary). A null text is an empty one; nothing else is dropped."""
+    """Each text as an Ogg file: (id, n_bytes, media binary).
+
+    A null text is an empty one; no row is dropped. Repeated rows and equal texts give equal files, whatever
+    their ids, null ones among them; an empty table gives an empty one. Other columns are not read, so names cannot clash.
+    """
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -177,7 +184,8 @@ def to_ogg(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def read_ogg(media: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """What the stored bytes hold: payload digest, checksum of the last 64 samples, media digest, features, seconds, status.
 
-    A null or corrupt medium gives null values and its reason in ``status``; a whole one has status ``ok``.
+    A null or corrupt medium gives null values and its reason in ``status``; a whole one has status ``ok``. Only
+    id, n_bytes and media are read; repeated rows are read each on its own, and an empty table gives an empty one.
     """
     made = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, seconds double, status string"
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import words as W
+from lectern.llm.tables import small_batches
 
 #: Vocabulary file of a public tokenizer; only its pieces and their order are read.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -174,14 +175,15 @@ def _count(scores):
     return run
 
 
-def count(docs: DataFrame, scores: dict[bytes, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each row of docs: id, n_words and n_tokens under the vocabulary ``scores`` (default: VOCABULARY's pieces).
+def count(docs: DataFrame, scores: dict[bytes, float] | None = None, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """For each row of docs: id, n_words and n_tokens under the vocabulary ``scores`` (default: the pieces of the file ``vocabulary``).
 
     Pre-tokens are the text's words ``[^\\x20\\x09-\\x0D]+``, each with the mark of a space before it,
     whatever its length. Segmentations have the highest total score; of equal ones, the one whose last
     piece is longer. A null or empty text has 0 tokens. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    table = docs.sparkSession.sparkContext.broadcast(pieces() if scores is None else scores)
+    table = docs.sparkSession.sparkContext.broadcast(pieces(vocabulary) if scores is None else scores)
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(_count(table), f"id {kind}, n_words long, n_tokens long").withColumnRenamed("id", id_col)
