@@ -24,7 +24,11 @@ def with_keys(docs: DataFrame) -> DataFrame:
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label classifier, fitted on docs, does not reject."""
+    """Documents that the weak-label classifier, fitted on docs, does not reject.
+
+    Each row is judged on its text, whatever its id; equal texts are judged alike. A null or empty text gives no
+    evidence: it stays where the corpus is good for the most part, as do texts of few words without marks of bad ones.
+    """
     return quality.classify(docs).where("quality_keep").select(docs.columns)
 
 
@@ -41,7 +45,11 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents none of whose words lie in a window of a benchmark item."""
+    """Documents none of whose words lie in a window of a benchmark item.
+
+    Null and empty texts have no words and stay. A row without an id goes by its own text; rows of one id are one
+    document, and all go if one of them has such words.
+    """
     keyed = with_keys(docs)
     found = phrases.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
     return keyed.join(found.where("contaminated").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
@@ -58,7 +66,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that all sources weigh alike, in an order that mixes them."""
+    """Documents repeated so that all sources weigh alike, in an order that mixes them.
+
+    Rows without a source are a source of their own; rows of one id, and rows without one, get one count each, by their
+    id's hash and source. Null and empty texts are drawn like all others. Two columns are new: mix_copy and mix_order.
+    """
     return mixing.mix(docs)
 
 
