@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import ids
-from lectern.operators.fixpoint import stored
+from lectern.operators.fixpoint import dropped, stored
 
 LEVELS = ("section", "chapter", "book", "subject_stage", "subject")
 
@@ -72,9 +72,12 @@ def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
     for _ in range(rounds):
         after = stored(now.unionByName(joined(now, step)).distinct())
         grown = after.count()
-        if grown == size:
+        longer = stored(joined(step, step).distinct()) if grown > size else None
+        for table in {id(now): now, id(step): step}.values():
+            dropped(table)
+        if longer is None:
             return after
-        now, size, step = after, grown, stored(joined(step, step).distinct())
+        now, size, step = after, grown, longer
     raise RuntimeError(f"closure did not settle in {rounds} rounds")
 
 
