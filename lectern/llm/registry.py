@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import brown, jaccard, language, media, mixing, phrases, quality, secrets, substring, tokens
+from lectern.llm import audit, brown, exponion, jaccard, language, lines, media, mixing, phrases, quality, secrets, substring, tokens
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count(_docs(spark, sf_dir))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 40 code points or more that five documents hold, kept in the last of them."""
+    rows = lines.dedup(_docs(spark, sf_dir))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all orders, by language."""
+    cells = audit.cells(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return audit.audit(cells).select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 clusters of the vectors of 64 components after five rounds."""
+    return exponion.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 OP6_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 means AS (SELECT source, 1.0 * (SELECT sum(n) FROM counts)::DOUBLE * 1.0 / (SELECT count(*) FROM counts)::DOUBLE / n AS mean FROM counts),
@@ -148,7 +165,51 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coal
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN reach ON w.doc_id = reach.doc_id GROUP BY w.doc_id
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, generate_subscripts(l, 1) AS p, unnest(l) AS line FROM d),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS kept FROM keyed LEFT JOIN common ON keyed.key = common.key WHERE last IS NULL OR last = doc_id GROUP BY doc_id)
+SELECT d.doc_id, len(l) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+OP12_SQL = r"""
+WITH letters AS (SELECT unnest(range(0, 5)) AS f),
+orders AS (SELECT a.f AS a, b.f AS b, c.f AS c, d.f AS d, e.f AS e FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.f NOT IN (b.f, c.f, d.f, e.f) AND b.f NOT IN (c.f, d.f, e.f) AND c.f NOT IN (d.f, e.f) AND d.f <> e.f),
+steps AS (SELECT array_to_string(list_transform([a, b, c, d, e], lambda x: chr(65 + x::INTEGER)), '') AS filter_order, [a, b, c, d, e] AS o, unnest(range(1, 6)) AS step FROM orders),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'), doc_id > least] AS fails FROM t),
+x AS (SELECT m.part, fails, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic, count(*) AS n FROM m LEFT JOIN labels ON m.doc_id = labels.doc_id GROUP BY ALL),
+r AS (SELECT part, filter_order, step, o[step] AS f, n, good, toxic, fails[o[step] + 1] AS now, len(list_filter(o[1:step - 1], lambda k: fails[k + 1])) > 0 AS before, len(list_filter(fails, lambda y: y)) AS n_fails FROM x, steps),
+s AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT now AND NOT before), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (now AND NOT before), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (now AND before), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (now AND n_fails = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(n) FILTER (now AND NOT before AND good), 0)::BIGINT AS good_lost, coalesce(sum(n) FILTER (now AND NOT before AND toxic), 0)::BIGINT AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM s
+"""
+
+
+def _op13_sql(k: int = 40, rounds: int = 5) -> str:
+    """Lloyd's rounds one after another; lists of integers, so that all is exact."""
+    near = """a{i} AS MATERIALIZED (SELECT id, min(d * {k} + j) // {k} AS d, min(d * {k} + j) % {k} AS j FROM (
+  SELECT id, j, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{i}) GROUP BY id)"""
+    mean = """c{n} AS MATERIALIZED (SELECT c{i}.j, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+  SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY p) AS c FROM (SELECT j, p, sum(x)::BIGINT AS s, count(*) AS n FROM (
+    SELECT j, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM v JOIN a{i} ON v.id = a{i}.id) GROUP BY j, p) GROUP BY j) m ON c{i}.j = m.j)"""
+    ctes = [
+        "v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS j, v AS c FROM (SELECT v, sha256('2:' || vec_id) AS h FROM v ORDER BY h LIMIT {k}))",
+    ]
+    for i in range(rounds):
+        ctes += [near.format(i=i, k=k), mean.format(i=i, n=i + 1)]
+    ctes.append(near.format(i=rounds, k=k))
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, a.j::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a ON v.id = a.id JOIN c{rounds} c ON a.j = c.j"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op4_lm_base, op5_media_columns, op6_mixing, op7_secret_scans, op8_quality, op9_ngram_jaccard, op10_token_counts)
+    f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_decontamination, op4_lm_scoring, op4_lm_base, op5_media_columns, op6_mixing, op7_secret_scans, op8_quality, op9_ngram_jaccard, op10_token_counts, op11_line_dedup, op12_filter_audit, op13_centroid_clustering)
 }
-SQL = {"op1_substring_dedup": OP1_SQL, "op3_decontamination": OP3_SQL, "op4_lm_base": OP4_BASE_SQL, "op6_mixing": OP6_SQL, "op9_ngram_jaccard": OP9_SQL}
+SQL = {"op1_substring_dedup": OP1_SQL, "op3_decontamination": OP3_SQL, "op4_lm_base": OP4_BASE_SQL, "op6_mixing": OP6_SQL, "op9_ngram_jaccard": OP9_SQL, "op11_line_dedup": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_centroid_clustering": _op13_sql()}

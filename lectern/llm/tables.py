@@ -33,10 +33,10 @@ def folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: its lineage ends there, and a lost executor costs nothing."""
+def stored(df: DataFrame, *parts: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, in folders by ``parts``: its lineage ends there, and a lost executor costs nothing."""
     path = f"{folder(df.sparkSession)}/lectern-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,6 +45,8 @@ def drop(df: DataFrame) -> None:
     spark = df.sparkSession
     for file in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        while "=" in path.getName():  # a folder of stored()'s parts
+            path = path.getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
