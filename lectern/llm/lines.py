@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,11 @@ class Runs:
         return name, self.spark.table(name)
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        out = runs[0]
-        for run in runs[1:]:
-            out = out.unionByName(run)
-        return out.groupBy(*_KEY).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        def two(a: DataFrame, b: DataFrame) -> DataFrame:
+            both = a.join(b.select(*_KEY, F.col("n").alias("_n"), F.col("last").alias("_last")).hint("merge"), _KEY, "full")
+            return both.select(*_KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n"), F.greatest("last", "_last").alias("last"))
+
+        return reduce(two, reversed(runs))
 
     def __iter__(self):
         return (pair for level in reversed(self.levels) for pair in level)

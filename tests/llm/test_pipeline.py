@@ -56,7 +56,8 @@ def test_decisions_apply_to_rows_without_an_id(spark):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for t in ("documents", "benchmark", "labels", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = registry.QUERIES[name](spark, DATA)
     expected = con.execute(registry.SQL[name]).df()
     rows = [tuple(r[c] for c in sorted(got.columns)) for r in got.collect()]
