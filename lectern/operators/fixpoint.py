@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -32,14 +33,23 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ranked(rows: DataFrame, *order: str, name: str = "n") -> DataFrame:
-    """rows with their number from 1 in an order without ties: sorted by ranges, with the counts of the ranges before added.
+def union(tables: list[DataFrame]) -> DataFrame:
+    """All rows of tables of the same columns."""
+    return reduce(DataFrame.unionByName, tables)
 
-    No task sorts more than a range; the counts are one row a range.
+
+def ranked(rows: DataFrame, *order: str | Column, name: str = "n", by: tuple[str, ...] = ()) -> DataFrame:
+    """rows with their number from 1 in an order without ties, and with ``by`` within each value of these columns.
+
+    Rows are sorted by ranges, and the counts of a value's ranges before are added: no task sorts more than a range,
+    also where one value has most rows. The counts are one row a range and value.
     """
     mask = (1 << 33) - 1
-    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_ = rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     placed = stored(sorted_.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(mask))}))
-    before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = placed.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_start", before).select("_part", "_start")
-    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
+    sizes = placed.groupBy("_part", *by).agg(F.count("*").alias("_c"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col("_part").alias("_p"), *[F.col(b).alias(f"_{i}") for i, b in enumerate(by)], (before - F.col("_first")).alias("_start"))
+    same = reduce(Column.__and__, [F.col(b).eqNullSafe(F.col(f"_{i}")) for i, b in enumerate(by)], F.col("_part") == F.col("_p"))
+    numbered = placed.join(starts if by else F.broadcast(starts), same)
+    return numbered.withColumn(name, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start", "_p", *[f"_{i}" for i in range(len(by))])

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import ids
-from lectern.operators.fixpoint import dropped, stored
+from lectern.operators.components import strong
+from lectern.operators.fixpoint import dropped, stored, union
 
 LEVELS = ("section", "chapter", "book", "subject_stage", "subject")
 
@@ -81,16 +82,36 @@ def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"closure did not settle in {rounds} rounds")
 
 
+def reachable(edges: DataFrame, starts: DataFrame, merge_after: int = 8) -> DataFrame:
+    """(query, node): nodes at the end of a path of one edge or more from a start of the query; starts: (query, node).
+
+    Each round goes on from what the round before found first, so the work is that of the pairs asked for and not of
+    the whole graph's closure.
+    """
+    step = stored(edges.select(F.col("source").alias("node"), F.col("target").alias("next")).where("node IS NOT NULL AND next IS NOT NULL").distinct())
+    onward = lambda rows: rows.join(step, "node").select("query", F.col("next").alias("node")).distinct()
+    parts = [stored(onward(starts.select("query", "node")))]
+    while not parts[-1].isEmpty():
+        new = stored(onward(parts[-1]).join(union(parts), ["query", "node"], "left_anti"))
+        if len(parts) == merge_after:  # few tables, however long the paths
+            merged = stored(union(parts))
+            for table in parts:
+                dropped(table)
+            parts = [merged]
+        parts.append(new)
+    return union(parts)
+
+
 def cycles(edges: DataFrame, longest: int | None = None, most: int = 200) -> DataFrame:
     """(cycle, length): simple cycles of 2 to ``longest`` nodes (None: of any length), from their least node on, the first ``most`` by it.
 
-    Without a bound, paths grow along edges between strongly connected nodes until none is open; their
+    Paths grow along edges inside strongly connected components alone, without a bound until none is open; their
     number can grow exponentially where such nodes have many edges.
     """
-    e = stored(edges.select("source", "target").where("source <> target").distinct())
-    if longest is None:
-        back = closure(e).select(F.col("target").alias("source"), F.col("source").alias("target"))
-        e = stored(e.join(back, ["source", "target"], "left_semi"))
+    at = stored(strong(edges))
+    inside = edges.select("source", "target").where("source <> target").distinct()
+    inside = inside.join(at.withColumnsRenamed({"node": "source", "component": "c"}), "source").join(at.withColumnsRenamed({"node": "target", "component": "d"}), "target")
+    e = stored(inside.where("c = d").select("source", "target"))
     paths = e.where("source < target").select(F.col("source").alias("start"), F.array("source", "target").alias("path"), F.col("target").alias("source"))
     out = None
     for length in count(2):
@@ -110,7 +131,7 @@ def cycles(edges: DataFrame, longest: int | None = None, most: int = 200) -> Dat
 
 def on_cycle(edges: DataFrame) -> DataFrame:
     """(node): nodes that reach themselves, self loops aside."""
-    return closure(edges.where("source <> target")).where("source = target").select(F.col("source").alias("node"))
+    return strong(edges).select("node")
 
 
 def locations(nodes: DataFrame, appears_in: DataFrame, part_of: DataFrame) -> DataFrame:
