@@ -119,22 +119,34 @@ def contents_line(x: Column) -> Column:
     return squeezed(t)
 
 
+def _numerals() -> dict[str, int]:
+    """Chinese digits, and those around a ten."""
+    out = dict(DIGITS)
+    for left, tens in ({"": 1} | DIGITS).items():
+        for right, ones in ({"": 0} | DIGITS).items():
+            out[f"{left}十{right}"] = tens * 10 + ones
+    return out
+
+
 def numeral(x: Column) -> Column:
     """Integer of digits or of a Chinese numeral up to 99; null for anything else."""
     t = stripped(x)
-    digit = F.create_map(*[F.lit(v) for kv in DIGITS.items() for v in kv])
-    left, right = F.regexp_extract(t, "^(.?)十(.?)$", 1), F.regexp_extract(t, "^(.?)十(.?)$", 2)
-    tens = F.when(left == "", 1).otherwise(F.try_element_at(digit, left))
-    ones = F.when(right == "", 0).otherwise(F.try_element_at(digit, right))
-    return F.when(t.rlike(r"^\d+$"), t.try_cast("int")).when(t.rlike("^.?十.?$"), tens * 10 + ones).otherwise(F.try_element_at(digit, t))
+    # a map of literals is one constant of the plan
+    known = F.create_map(*[F.lit(v) for kv in _numerals().items() for v in kv])
+    return F.coalesce(F.when(t.rlike(r"^\d+$"), t.try_cast("int")), F.try_element_at(known, t))
+
+
+def _ordinals() -> list[str]:
+    """1 to 99 in Chinese."""
+    digits = "一二三四五六七八九"
+    tens = ["", "十", *[f"{d}十" for d in digits[1:]]]
+    return [tens[n // 10] + (digits[n % 10 - 1] if n % 10 else "") for n in range(1, 100)]
 
 
 def ordinal(n: Column) -> Column:
     """Chinese numeral of 1 to 99; the digits from 100 on; null below 1."""
-    names = F.array(*[F.lit(c) for c in "一二三四五六七八九"])
-    ten = F.when(n < 20, F.lit("十")).otherwise(F.concat(F.try_element_at(names, F.floor(n / 10).cast("int")), F.lit("十")))
-    one = F.when(n % 10 == 0, F.lit("")).otherwise(F.try_element_at(names, (n % 10).cast("int")))
-    return F.when(n < 1, None).when(n < 10, F.try_element_at(names, n.cast("int"))).when(n < 100, F.concat(ten, one)).otherwise(n.cast("string"))
+    names = F.array(*[F.lit(x) for x in _ordinals()])
+    return F.when(n >= 100, n.cast("string")).when(n >= 1, F.try_element_at(names, n.cast("int")))
 
 
 def high_school_grade(book: Column) -> Column:
