@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.tables import drop, small_batches, stored
@@ -184,7 +184,7 @@ def cluster(vectors: DataFrame, *, k: int = 40, rounds: int = 5, dims: int = 64,
     rows = rows.select("vec_id", "cluster", apart.alias("distance"), "centroid_sha256")
     exact = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
     inertia = rows.groupBy("cluster").agg(exact("distance").alias("cluster_inertia"))
-    whole = inertia.agg(exact("cluster_inertia").alias("inertia"))
-    # k rows and one row
-    totals = inertia.join(F.broadcast(whole)).select("cluster", F.col("cluster_inertia").cast("long"), F.col("inertia").cast("long"))
+    # k rows
+    whole = exact("cluster_inertia").over(Window.partitionBy(F.lit(0)))
+    totals = inertia.select("cluster", F.col("cluster_inertia").cast("long").alias("cluster_inertia"), whole.cast("long").alias("inertia"))
     return rows.join(F.broadcast(totals), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -12,8 +12,8 @@ MEAN = 64
 
 
 def uniform(id_col: Column, seed: int, draw: Column) -> Column:
-    """A number in [0, 1) from the first 52 bits of md5(seed:id), or of md5(seed:id:draw) in draws from 1 on; a null id counts as the text ``null``."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")), F.when(draw > 0, F.concat(F.lit(":"), draw.cast("string"))).otherwise(""))
+    """A number in [0, 1) from the first 52 bits of md5(seed:id), or of md5(seed:id:draw) in draws from 1 on."""
+    text = F.concat(F.lit(f"{seed}:"), id_col, F.when(draw > 0, F.concat(F.lit(":"), draw.cast("string"))).otherwise(""))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -29,7 +29,7 @@ def poisson_cdf(mean: Column) -> Column:
     )
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, total: float = 1.0, seed: int = 17, max_rate: float | None = None, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, total: float = 1.0, seed: int = 17, max_rate: float | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Each document as many times as a Poisson draw says, in an order that mixes all sources.
 
     A source's mean repetition rate is target rows / its rows, where target rows are its share of the
@@ -38,7 +38,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, total: floa
     weighs 0 unless ``weights`` has the key None. The draw inverts the distribution at a number
     hashed from seed and id; a mean beyond MEAN is the sum of several draws of equal means, which has the same
     distribution. The same row gets the same count on every run, whichever task reads it,
-    and rows of one id get one count each. Columns of docs stay, whatever their names; ``mix_copy`` (from 1) and
+    and rows of one id get one count each. A row without an id goes by its text (a null text is an empty one), so that
+    equal texts without ids share a draw and others have their own. Columns of docs stay, whatever their names; ``mix_copy`` (from 1) and
     ``mix_order`` (hash by which rows are sorted) are new and replace columns of those names. Empty in, empty out.
     """
     spark = docs.sparkSession
@@ -62,11 +63,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, total: floa
     rates = rates.withColumn(name("cdf"), poisson_cdf(col("rate") / col("draws"))).drop(name("rate"))
     if counts.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
+    named = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))) if text_col in docs.columns else F.lit("null"))
     kept = docs.join(rates, docs[source_col].eqNullSafe(rates[name("source")]))
     below = lambda u: F.size(F.filter(name("cdf"), lambda c: c <= u))
-    n = F.when(col("draws") == 1, below(col("u"))).otherwise(F.aggregate(F.sequence(F.lit(1), col("draws") - 1), below(col("u")), lambda s, j: s + below(uniform(F.col(id_col), seed, j))))
-    drawn = kept.withColumn(name("u"), uniform(F.col(id_col), seed, F.lit(0))).withColumn(name("n"), n)
+    n = F.when(col("draws") == 1, below(col("u"))).otherwise(F.aggregate(F.sequence(F.lit(1), col("draws") - 1), below(col("u")), lambda s, j: s + below(uniform(named, seed, j))))
+    drawn = kept.withColumn(name("u"), uniform(named, seed, F.lit(0))).withColumn(name("n"), n)
     columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_order")]
-    copies = drawn.where(col("n") > 0).select(*columns, F.explode(F.sequence(F.lit(1), col("n"))).alias("mix_copy"))
-    order = F.md5(F.concat_ws(":", F.lit(f"order {seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("mix_copy").cast("string")).cast("binary"))
-    return copies.withColumn("mix_order", order).orderBy("mix_order")
+    copies = drawn.where(col("n") > 0).select(*columns, named.alias(name("id")), F.explode(F.sequence(F.lit(1), col("n"))).alias("mix_copy"))
+    order = F.md5(F.concat_ws(":", F.lit(f"order {seed}"), col("id"), F.col("mix_copy").cast("string")).cast("binary"))
+    return copies.withColumn("mix_order", order).drop(name("id")).orderBy("mix_order")

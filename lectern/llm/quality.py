@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import words as W
-from lectern.llm.tables import drop, small_batches, stored
+from lectern.llm.tables import drop, free, small_batches, stored
 
 #: Distinct texts, and features of them, from which the linear scorer learns at most: those of the least hashes. EM uses all distinct texts.
 TRAIN_ROWS, TRAIN_FEATURES = 6_000, 4_000_000
@@ -210,23 +210,23 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict:
     return model
 
 
-def _score(model):
+def _score(model, column):
     def run(batches):
         weights, bias = model.value
-        for rows, data, bounds in W.texts(batches, "_quality_text"):
+        for rows, data, bounds in W.texts(batches, column):
             words = W.split(data, bounds, W.not_space())
             parts = _word_kinds(data, words)
             each = weights[features(data, words, parts)].sum(axis=0)
             total = _by_row(each, words) / (np.diff(words.first) + PRIOR_WORDS) + bias
             score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-            out = rows.drop_columns(["_quality_text"])
+            out = rows.drop_columns([column])
             yield out.append_column("quality_score", pa.array(score)).append_column("quality_keep", pa.array(score >= 0.5))
 
     return run
 
 
 def classify(docs: DataFrame, text_col: str = "text", model: dict | None = None) -> DataFrame:
-    """docs with quality_score (0 to 1) and quality_keep (score of 0.5 or more), which replace columns of those names.
+    """docs with quality_score (0 to 1) and quality_keep (score of 0.5 or more), which replace columns of those names in any case.
 
     All rows and columns stay, whatever they hold. A null or empty text has no features: its score is
     the bias alone, alike for all. Equal texts have equal scores.
@@ -234,7 +234,8 @@ def classify(docs: DataFrame, text_col: str = "text", model: dict | None = None)
     small_batches(docs.sparkSession)
     model = fit(docs, text_col) if model is None else model
     kept = docs.drop("quality_score", "quality_keep")
-    rows = kept.withColumn("_quality_text", F.col(text_col).cast("string"))
+    (column,) = free(kept, "_quality_text")
+    rows = kept.withColumn(column, F.col(text_col).cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast((model["weights"], model["bias"]))
     schema = T.StructType([*kept.schema.fields, T.StructField("quality_score", T.DoubleType()), T.StructField("quality_keep", T.BooleanType())])
-    return rows.mapInArrow(_score(shared), schema)
+    return rows.mapInArrow(_score(shared, column), schema)

@@ -103,13 +103,13 @@ cdf AS (
   SELECT source, k, c FROM steps),
 draws AS (
   SELECT doc_id, source, lang, text, j,
-    ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || CASE WHEN j > 0 THEN ':' || j ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+    ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, ''))) || CASE WHEN j > 0 THEN ':' || j ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
   FROM (SELECT d.*, unnest(range(0, draws)) AS j FROM documents d JOIN rates r ON r.source IS NOT DISTINCT FROM d.source)),
 counted AS (
   SELECT d.*, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u) AS n FROM draws d),
 whole AS (SELECT doc_id, source, lang, text, sum(n)::BIGINT AS n FROM counted GROUP BY ALL)
 SELECT doc_id, source, lang, text, copy::INTEGER AS mix_copy,
-  md5('order 17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy) AS mix_order
+  md5('order 17:' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, ''))) || ':' || copy) AS mix_order
 FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM whole WHERE n > 0)
 """
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm import words as W
-from lectern.llm.tables import small_batches
+from lectern.llm.tables import free, small_batches
 
 #: Characters of a candidate that no keyword names, and of the text before and after it that count as neighbours.
 SHORTEST, NEIGHBOURS = 16, 64
@@ -254,11 +254,11 @@ def probability(trees, x: np.ndarray) -> np.ndarray:
     return total / max(1, len(trees))
 
 
-def _scan(trees):
+def _scan(trees, text_at, path_at):
     def run(batches):
         forest, known = trees.value
         for b in batches:
-            texts, paths = b.column("_secret_text").to_pylist(), b.column("_secret_path").to_pylist()
+            texts, paths = b.column(text_at).to_pylist(), b.column(path_at).to_pylist()
             found, rows, x = [], [], []
             for i, text in enumerate(texts):
                 spans = list(candidates(text or ""))
@@ -279,7 +279,7 @@ def _scan(trees):
                     text = text[: s["start"]] + REDACTED + text[s["end"] :]
                 clean.append(text)
             total = np.bincount(np.array(rows, np.int64), minlength=len(texts))
-            out = b.drop_columns(["_secret_text", "_secret_path"])
+            out = b.drop_columns([text_at, path_at])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
             yield out.append_column("secret_candidates", pa.array(total)).append_column("secrets", pa.array(spans_of, kind)).append_column("redacted", pa.array(clean, pa.string()))
 
@@ -296,12 +296,13 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "te
     small_batches(docs.sparkSession)
     kept = docs.drop("secret_candidates", "secrets", "redacted")
     path = F.col(path_col).cast("string") if path_col and path_col in docs.columns else F.lit(None).cast("string")
-    rows = kept.withColumns({"_secret_text": F.col(text_col).cast("string"), "_secret_path": path})
+    names = free(kept, "_secret_text", "_secret_path")
+    rows = kept.withColumns(dict(zip(names, (F.col(text_col).cast("string"), path), strict=True)))
     found = labelled(findings)
     known = usual_trigrams(docs, text_col) | known_trigrams(found)
     trees = docs.sparkSession.sparkContext.broadcast((flat_trees(fit(docs.sparkSession, found, known)), known))
     more = T._parse_datatype_string("secret_candidates long, secrets array<struct<start:int,end:int,probability:double>>, redacted string")
-    return rows.mapInArrow(_scan(trees), T.StructType([*kept.schema.fields, *more.fields]))
+    return rows.mapInArrow(_scan(trees, *names), T.StructType([*kept.schema.fields, *more.fields]))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

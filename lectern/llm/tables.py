@@ -22,6 +22,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """names with as many ``_`` at their ends as it takes to be no columns of df, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    tail = ""
+    while any((n + tail).lower() in taken for n in names):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset, a new temporary folder, which only a local master can share with its tasks."""
     at = spark.conf.get("spark.checkpoint.dir", None)
