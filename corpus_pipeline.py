@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import jaccard, mixing, phrases, quality, secrets
-from lectern.llm.tables import drop, stored
+from lectern.llm.tables import drop, free, stored
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    """docs with _key: doc_id, or in rows without one a number of their own above all ids, stored so that it stays the same."""
+def with_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key column, and its name: doc_id, or in rows without one a number of their own above all ids, stored so that it stays the same."""
+    (key,) = free(docs, "_key")
     seen = docs.agg(F.max(F.col("doc_id").cast("long")), F.count("*") - F.count("doc_id")).first()
     if not seen[1]:
-        return docs.withColumn("_key", F.col("doc_id").cast("long"))
+        return docs.withColumn(key, F.col("doc_id").cast("long")), key
     own = F.lit(max(0, (seen[0] or 0) + 1)) + F.monotonically_increasing_id()
-    return stored(docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), own)))
+    return stored(docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), own))), key
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,10 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Repeated rows of one doc_id are one document: one of them stays. Each row without a doc_id is a
     document of its own, and goes where it is linked to a document with one.
     """
-    keyed = with_keys(docs)
-    groups, _ = jaccard.join(keyed, id_col="_key")
-    first = groups.where("_key = component_id").select("_key").distinct()
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    keyed, key = with_keys(docs)
+    groups, _ = jaccard.join(keyed.select(key, "text"), id_col=key)
+    first = groups.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    return keyed.join(first, key, "left_semi").dropDuplicates([key]).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +51,16 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null and empty texts have no words and stay. A row without an id goes by its own text; rows of one id are one
     document, and all go if one of them has such words.
     """
-    keyed = with_keys(docs)
-    found = phrases.contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
-    return keyed.join(found.where("contaminated").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
+    keyed, key = with_keys(docs)
+    found = phrases.contamination(keyed.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key)
+    return keyed.join(found.where("contaminated").select(key).distinct(), key, "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each secret in their texts replaced by a mark; n_chars follows."""
+    """All documents, with each secret in their texts replaced by a mark; n_chars follows.
+
+    Null and empty texts stay as they are, and repeated rows are changed alike.
+    """
     clean = secrets.scan(docs)
     change = F.size("secrets") > 0
     changed = {"text": F.when(change, F.col("redacted")).otherwise(F.col("text"))}
@@ -68,8 +72,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that all sources weigh alike, in an order that mixes them.
 
-    Rows without a source are a source of their own; rows of one id, and rows without one, get one count each, by their
-    id's hash and source. Null and empty texts are drawn like all others. Two columns are new: mix_copy and mix_order.
+    Rows without a source are a source of their own; rows of one id get one count each, by their
+    id's hash and source, and rows without one by their text's. Null and empty texts are drawn like all others. Two columns are new: mix_copy and mix_order.
     """
     return mixing.mix(docs)
 
