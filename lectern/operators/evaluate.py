@@ -29,6 +29,16 @@ def summary(rows: DataFrame, file_col: str = "file") -> DataFrame:
     return both.select("file", "count", *[F.coalesce(F.try_divide(m, "count"), F.lit(0.0)).alias(m) for m in METRICS])
 
 
+def cube(rows: DataFrame, *dims: str) -> DataFrame:
+    """Count and mean metrics for each combination of values of dims and for all totals over some of them, with ``level``, the grouping id.
+
+    A bit of level, the first of dims the highest, says that the row is a total over that column, so that a null of the data
+    differs from a total. Rows are summed by all of dims first, and the totals are made of these sums.
+    """
+    parts = rows.groupBy(*dims).agg(F.count("*").alias("count"), *[F.sum(m).alias(m) for m in METRICS])
+    return parts.cube(*dims).agg(F.grouping_id().alias("level"), F.sum("count").alias("_n"), *[(F.sum(m) / F.sum("count")).alias(m) for m in METRICS]).withColumnRenamed("_n", "count")
+
+
 def pending(rows: DataFrame, done: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows whose id no stored result has."""
     return rows.join(done.select(id_col).distinct(), id_col, "left_anti")

@@ -7,22 +7,26 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as a Parquet table under spark.checkpoint.dir (a new temporary folder where that is unset and the master local), so that plans stay short."""
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a new temporary folder where that is unset and the master local."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/lectern-{uuid.uuid4().hex}"
+    return at.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder, so that plans stay short."""
+    path = f"{folder(df.sparkSession)}/lectern-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:

@@ -164,6 +164,26 @@ def in_scope(places: DataFrame, later: bool = False) -> DataFrame:
     return places.join(other, "scope").where(compare).select("node", "other")
 
 
+def as_of(asks: DataFrame, places: DataFrame) -> DataFrame:
+    """asks (id, scope, key) with ``place``, the nearest place (place, scope, key) of the scope whose key is less; null where there is none.
+
+    Of places of one key the largest counts. Both tables are sorted together by ranges of (scope, key): within a range the last
+    place before is carried along, and each range's last place of a scope goes to the ranges after it. There is no self
+    join, and a scope with most rows is shared by many tasks.
+    """
+    kind = lambda df, is_ask: df.select("scope", "key", F.lit(is_ask).alias("is_ask"), (F.col("id") if is_ask == 0 else F.lit(None).cast(asks.schema["id"].dataType)).alias("id"), (F.col("place") if is_ask else F.lit(None).cast(places.schema["place"].dataType)).alias("place"))
+    both = kind(asks, 0).unionByName(kind(places, 1))  # an ask comes before the places of its key
+    order = ("scope", "key", "is_ask", "place", "id")
+    placed = stored(both.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    latest = F.last("place", ignorenulls=True)
+    own = latest.over(Window.partitionBy("part", "scope").orderBy("key", "is_ask", "place", "id").rowsBetween(Window.unboundedPreceding, -1))
+    ends = placed.groupBy("scope", "part").agg(F.max_by("place", F.when(F.col("is_ask") == 1, F.struct("key", "place"))).alias("end"))
+    before = F.last("end", ignorenulls=True).over(Window.partitionBy("scope").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    carried = ends.select(F.col("scope").alias("_scope"), F.col("part").alias("_part"), before.alias("_before"))
+    rows = placed.withColumn("_own", own).where("is_ask = 0").join(carried, F.col("scope").eqNullSafe(F.col("_scope")) & (F.col("part") == F.col("_part")))
+    return rows.select("id", "scope", "key", F.coalesce("_own", "_before").alias("place"))
+
+
 def previous(places: DataFrame, count: int = 3) -> DataFrame:
     """(node, other, steps): the ``count`` places before each in its scope, the nearest with steps 1."""
     before = F.collect_list("node").over(Window.partitionBy("scope").orderBy("key", "node").rowsBetween(-count, -1))

@@ -52,7 +52,7 @@ def similarity_topk(spark, d):
     """The ten vectors of a label nearest to its first."""
     v = table(spark, d, "embeddings")
     first = v.groupBy("label").agg(F.min_by(F.struct("vec_id", "embedding"), "vec_id").alias("a")).select("label", F.col("a.vec_id").alias("query"), F.col("a.embedding").alias("qe"))
-    rows = v.join(F.broadcast(first), "label").where("vec_id <> query")
+    rows = v.join(first, "label").where("vec_id <> query")
     order = Window.partitionBy("query").orderBy(F.desc(F.round(measures.similarity(F.col("embedding"), F.col("qe")), 9)), "vec_id")
     return rows.select("query", F.col("vec_id").alias("node"), F.row_number().over(order).cast("long").alias("rank")).where("rank <= 10")
 
@@ -341,6 +341,72 @@ def resume_anti(spark, d):
     return evaluate.pending(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
+@query("WITH " + PRED + """, m3 AS (SELECT f.*, f.doc_id % 3 AS model, toxic FROM f JOIN labels ON f.doc_id = labels.doc_id)
+SELECT model::VARCHAR AS model, quality::VARCHAR AS task, toxic::VARCHAR AS file, grouping_id(model, quality, toxic)::BIGINT AS level, count(*) AS count, round(avg(exact_match), 6) AS exact_match, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1
+FROM m3 GROUP BY CUBE (model, quality, toxic)""")
+def metrics_cube(spark, d):
+    """Mean metrics by model, task and file, and all totals over them."""
+    extra = table(spark, d, "labels").select("doc_id", F.col("toxic").cast("string").alias("toxic"))
+    rows = _predictions(spark, d).join(extra, "doc_id").select((F.col("doc_id") % 3).cast("string").alias("model"), F.col("file").alias("task"), F.col("toxic").alias("file"), *evaluate.METRICS)
+    return evaluate.cube(rows, "model", "task", "file").select("model", "task", "file", "level", "count", *[F.round(m, 6).alias(m) for m in evaluate.METRICS])
+
+
+@query("""SELECT a.event_id AS id, b.event_id AS place FROM (SELECT * FROM events WHERE event_type = 'purchase') a ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'purchase') b ON a.user_id = b.user_id AND a.ts > b.ts""")
+def nearest_earlier(spark, d):
+    """The last other event of its user before each purchase."""
+    e = table(spark, d, "events").withColumns({"scope": F.col("user_id"), "key": F.col("ts")})
+    bought = F.col("event_type") == "purchase"
+    return graph.as_of(e.where(bought).select(F.col("event_id").alias("id"), "scope", "key"), e.where(~bought).select(F.col("event_id").alias("place"), "scope", "key")).select("id", "place")
+
+
+@query("""WITH l AS (SELECT l_partkey, s_nationkey, n_regionkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+x AS (SELECT 'book' AS level, s_nationkey::VARCHAR AS graph, count(DISTINCT l_partkey) AS exact FROM l GROUP BY s_nationkey UNION ALL SELECT 'subject', n_regionkey::VARCHAR, count(DISTINCT l_partkey) FROM l GROUP BY n_regionkey UNION ALL SELECT 'global', '', count(DISTINCT l_partkey) FROM l)
+SELECT level, graph, exact, true AS within FROM x""")
+def name_sketches(spark, d):
+    """Distinct parts of each nation, region and all by merged sketches, and whether they are within four standard errors of the exact counts."""
+    from lectern.operators import sketches
+
+    at = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("s_nationkey").cast("string").alias("book"), F.col("n_regionkey").cast("string").alias("subject"))
+    rows = table(spark, d, "lineitem").join(at, F.col("l_suppkey") == F.col("s_suppkey")).select("book", "subject", F.col("l_partkey").alias("name"))
+    whole = rows.withColumn("global", F.lit(""))
+    levels = ("book", "subject", "global")
+    found = sketches.estimates(sketches.built(whole, "name", levels), levels)
+    exact = None
+    for level in levels:
+        part = whole.groupBy(F.lit(level).alias("level"), F.col(level).alias("graph")).agg(F.count_distinct("name").alias("exact"))
+        exact = part if exact is None else exact.unionByName(part)
+    bound = F.greatest(F.lit(1.0), 4 * sketches.error() * F.col("exact"))
+    return found.join(exact, ["level", "graph"]).select("level", "graph", "exact", (F.abs(F.col("names") - F.col("exact")) <= bound).alias("within"))
+
+
+VECTORS = r"""n AS (SELECT doc_id, lang, trim(regexp_replace(array_to_string(string_split(text, ' ')[1:3], ' '), '\s+', ' ', 'g')) AS name FROM documents),
+v AS (SELECT name, [(('0x' || substr(md5(k || '|' || name), 1, 4))::BIGINT / 32767.5 - 1)::FLOAT FOR k IN range(0, 8)]::DOUBLE[] AS e FROM (SELECT DISTINCT name FROM n WHERE name <> '')),
+q AS (SELECT lang, min(doc_id) AS a, min_by(name, doc_id) AS name FROM n WHERE name <> '' GROUP BY lang)"""
+
+
+@query("WITH " + VECTORS + """, s AS (SELECT q.lang AS query, n.doc_id AS node, round((list_cosine_similarity(v.e, u.e) + 1) / 2, 9) AS sim FROM q JOIN n ON n.lang = q.lang AND n.doc_id <> q.a JOIN v ON v.name = n.name JOIN v u ON u.name = q.name)
+SELECT query, node, rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sim DESC, node) AS rank FROM s) WHERE rank <= 10""")
+def text_ranking(spark, d):
+    """Names of documents nearest to the first of their language, by vectors that a stand-in model gives to distinct names."""
+    import uuid
+
+    from lectern.operators import vectors
+    from lectern.operators.fixpoint import folder
+
+    names = table(spark, d, "documents").select(F.col("doc_id").alias("node"), F.col("lang").alias("query"), text.squeezed(F.substring_index("text", " ", 3)).alias("text")).where("text <> ''")
+    first = names.groupBy("query").agg(F.min_by(F.struct("node", "text"), "node").alias("a")).select("query", "a.*")
+    rest = names.join(first.select("query", F.col("node").alias("a")), "query").where("node <> a").drop("a")
+    made = vectors.fill(names, f"{folder(spark)}/lectern-vectors-{uuid.uuid4().hex}", "hashed", hashed_model)
+    return vectors.nearest(first.select("query", "text"), rest, made).select("query", "node", "rank")
+
+
+def hashed_model():
+    """A stand-in for an embedding model: eight numbers from hashes of a text."""
+    from hashlib import md5
+
+    return lambda texts: [[int(md5(f"{k}|{t}".encode()).hexdigest()[:4], 16) / 32767.5 - 1 for k in range(8)] for t in texts]
+
+
 # ---- pairs and training mix
 
 
