@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import ids, measures, replies, text
-from lectern.operators import evaluate, graph, layers, mcq, qa, resolve, segment, tasks
+from lectern.operators import evaluate, graph, layers, qa, resolve, segment
 from lectern.plans.registry import query
-from lectern.plans.standin import CHAIN, EDGES, edges, part_chain, school, table
+from lectern.plans.standin import CHAIN, EDGES, edges, part_chain, table
 
 # ---- layered distractors
 
@@ -519,25 +519,3 @@ def question_blocks(spark, d):
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "line"))), lambda r: r.line), "\n")
     sections = rows.groupBy("conv_id").agg(body.alias("body")).select(F.concat(F.lit("s"), F.col("conv_id").cast("string"), F.lit(".md")).alias("source_md"), "body", F.lit("math_7a_rjb").alias("book_prefix"), F.col("conv_id").alias("ord"))
     return segment.kept_questions(segment.questions(sections)).select("question_id", "question_no_in_source", "global_no", F.md5("stem").alias("stem"))
-
-
-# ---- benchmark tasks
-
-
-def _task(name: str):
-    def run(spark, d):
-        g = school(spark, d)
-        parts = tasks.TASKS[name](g)
-        named = g.nodes.select(F.col("id").alias("node"), "label", "name")
-        score = F.round(ids.template_index("sim", F.concat_ws("|", "query", "node"), 1000) / 1000, 3)
-        rows = tasks.filled(g, parts).join(named, "node").withColumns({"sim_score": score, "sim_question": score, "sim_answer": score})
-        kept = layers.layered(rows, parts.answers.join(named, "node"), parts.blocked, parts.labels, parts.stop_at)
-        return kept.select("query", "layer", "node", "name", F.col("rank").cast("long").alias("rank"), "sim_score")
-
-    run.__name__ = name
-    run.__doc__ = f"Layered candidates of {name} on the stand-in graph, with a hash as similarity."
-    return run
-
-
-for _name in tasks.TASKS:
-    query()(_task(_name))

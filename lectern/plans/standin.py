@@ -1,12 +1,13 @@
-"""A curriculum graph over the test tables: regions hold nations, nations hold suppliers, parts are knowledge."""
+"""Curriculum graphs over the test tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lectern.functions import ids
 from lectern.operators import graph, tasks
-from lectern.operators.fixpoint import stored
+from lectern.operators.fixpoint import stored, union
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,46 +39,54 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.unionByName(part_chain(part, "p_name", "p_brand").withColumn("type", F.lit("relates_to"))).unionByName(star.withColumn("type", F.lit("is_a")))
 
 
+def book_of(block):
+    """Book of a block of twenty parts: two subjects, 25 codes."""
+    code = F.element_at(F.array(*[F.lit(c) for c in ids.ORDER]), (block % len(ids.ORDER) + 1).cast("int"))
+    return F.concat_ws("_", F.when(block % 2 == 0, "math").otherwise("physics"), code, F.lit("rjb"))
+
+
+def chapter_of(block):
+    return F.concat(book_of(block), F.lit("_ch"), (F.floor(block / 100) + 1).cast("string"))
+
+
+def section_of(block):
+    return F.concat(chapter_of(block), F.lit("_s"), (F.floor(block / 25) % 4 + 1).cast("string"))
+
+
 def school(spark: SparkSession, sf_dir: str):
-    """A small curriculum graph out of whole tables: part names, brands and types as knowledge, customer groups as exercises.
+    """A curriculum graph that grows with the tables, with all edges that they have.
 
-    Its size follows the numbers of names, brands, types and nations, not of rows.
+    Parts are concepts, suppliers skills, urgent orders experiments and other orders exercises. Every line is
+    an edge from its order to its part, and for exercises one to its supplier. Twenty parts make a section, four
+    sections a chapter; a part also appears in a later section by its size, and an order in the sections of its parts.
     """
-    part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation")
-    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    made = lambda prefix, *c: F.concat_ws("_", F.lit(prefix), *[F.translate(F.col(x).cast("string"), " _", "--") for x in c])
-    concept, skill, lab = made("math_7a_rjb_cpt", "p_name"), made("math_7a_rjb_skl", "p_brand"), made("math_7a_rjb_exp", "p_type")
-    exercise = made("math_7a_rjb_exe", "c_nationkey", "c_mktsegment")
-
-    def top(source, target, k):
-        """The k targets that most lines join to each source."""
-        counts = lines.groupBy(source.alias("source"), target.alias("target")).agg(F.count("*").alias("c"))
-        return counts.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("c"), "target"))).where(F.col("n") <= k).select("source", "target")
-
-    names = part.select(concept.alias("source"), F.substring("p_name", 1, 1).alias("g")).distinct()
-    chain = lambda k, by: names.select("source", F.lead("source", k).over(Window.partitionBy(by).orderBy("source")).alias("target")).where("target IS NOT NULL")
-    star = names.select("source", F.min("source").over(Window.partitionBy("g")).alias("target")).where("source <> target")
-    # a third of the books are of primary school, so that nodes placed in these alone occur
-    book = F.when(F.col("n_nationkey") % 3 == 0, "math_7a_rjb").when(F.col("n_nationkey") % 3 == 1, "math_bx1_rjb").otherwise("math_1a_rjb")
-    chapter = F.concat(book, F.lit("_ch"), F.col("n_regionkey").cast("string"))
-    places = nation.select("n_nationkey", book.alias("book"), book.alias("book_name"), chapter.alias("chapter"), chapter.alias("chapter_title"), F.concat(chapter, F.lit("_s"), F.col("n_nationkey").cast("string")).alias("section"), F.col("n_name").alias("section_title"), F.col("n_nationkey").alias("ord"))
-    nodes, part_of = graph.structure(places.drop("n_nationkey"))
-    content = [(concept, "Concept", "p_name"), (skill, "Skill", "p_brand"), (lab, "Experiment", "p_type")]
-    for id_, label, name in content:
-        nodes = nodes.unionByName(part.select(id_.alias("id"), F.lit(label).alias("label"), F.col(name).alias("name"), F.lit(0).alias("ord")).distinct())
-    nodes = nodes.unionByName(table(spark, sf_dir, "customer").select(exercise.alias("id"), F.lit("Exercise").alias("label"), F.concat_ws(" ", "c_nationkey", "c_mktsegment").alias("name"), F.lit(0).alias("ord")).distinct())
-    typed = [(top(exercise, concept, 2), "tests_concept"), (top(exercise, skill, 2), "tests_skill"), (top(lab, concept, 3), "verifies"), (chain(1, "g"), "prerequisites_for"), (chain(2, "g"), "relates_to"), (star, "is_a")]
-    leads = places.select(F.col("chapter").alias("source"), F.regexp_extract("chapter", r"(\d+)$", 1).cast("int").alias("k"), "book").distinct()
-    typed.append((leads.select("source", F.lead("source").over(Window.partitionBy("book").orderBy("k")).alias("target")).where("target IS NOT NULL"), "leads_to"))
-    edges_ = None
-    for rows, name in typed:
-        rows = rows.select("source", "target", F.lit(name).alias("type"))
-        edges_ = rows if edges_ is None else edges_.unionByName(rows)
-    at = None
-    for id_ in (concept, skill, lab, exercise):
-        rows = top(id_, F.col("s_nationkey"), 2)
-        at = rows if at is None else at.unionByName(rows)
-    appears = at.join(places.select(F.col("n_nationkey").alias("target"), "section"), "target").select("source", F.col("section").alias("target"))
-    nodes, edges_ = stored(nodes.select("id", "label", "name")), stored(edges_)
-    return tasks.Graph(nodes, edges_, stored(graph.locations(nodes, stored(appears), stored(part_of))))
+    part, supplier, orders = (table(spark, sf_dir, t) for t in ("part", "supplier", "orders"))
+    block = lambda c: F.floor(F.col(c) / 20)
+    parts = part.select("p_partkey", block("p_partkey").alias("b"), F.floor((F.col("p_partkey") + 40 * F.col("p_size")) / 20).alias("b2"), F.concat_ws(" ", "p_name", "p_size").alias("name"), "p_name", "p_brand", "p_type", "p_size")
+    parts = parts.withColumn("id", F.concat(book_of(F.col("b")), F.lit("_cpt"), F.col("p_partkey").cast("string")))
+    skills = supplier.select("s_suppkey", F.col("s_suppkey").alias("b"), F.concat(book_of(F.col("s_suppkey")), F.lit("_skl"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent")), "l_orderkey")
+    place = F.col("l_orderkey") % 1000
+    order_id = F.concat(book_of(place), F.when(F.col("urgent"), "_exp").otherwise("_exe"), F.col("l_orderkey").cast("string"))
+    lines = stored(lines.select(order_id.alias("order_id"), F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("order_name"), "urgent", "l_partkey", "l_suppkey", block("l_partkey").alias("b")))
+    concept = lines.join(parts.select(F.col("p_partkey").alias("l_partkey"), F.col("id").alias("target")), "l_partkey").select(F.col("order_id").alias("source"), "target", "urgent").distinct()
+    skill = lines.where("NOT urgent").join(skills.select(F.col("s_suppkey").alias("l_suppkey"), F.col("id").alias("target")), "l_suppkey").select(F.col("order_id").alias("source"), "target").distinct()
+
+    key = parts.select("id", "p_partkey", "p_name", "p_brand", "p_type", "p_size", (F.col("p_size") % 4).alias("quarter"))
+    chain = lambda *by: key.select(F.col("id").alias("source"), F.lead("id").over(Window.partitionBy(*by).orderBy("p_partkey")).alias("target")).where("target IS NOT NULL")
+    star = key.select(F.col("id").alias("source"), F.first("id").over(Window.partitionBy("p_name", "p_size").orderBy("p_partkey")).alias("target")).where("source <> target")
+    at = [parts.select(F.col("id").alias("source"), "b"), parts.select(F.col("id").alias("source"), F.col("b2").alias("b")), skills.select(F.col("id").alias("source"), "b"), lines.select(F.col("order_id").alias("source"), "b")]
+    at = stored(union(at).distinct())
+    places = at.select("b").distinct().select(book_of(F.col("b")).alias("book"), chapter_of(F.col("b")).alias("chapter"), section_of(F.col("b")).alias("section"), "b")
+    nodes, part_of = graph.structure(places.select("book", F.col("book").alias("book_name"), "chapter", F.col("chapter").alias("chapter_title"), "section", F.col("section").alias("section_title"), F.col("b").alias("ord")))
+    label = lambda df, label: df.select("id", F.lit(label).alias("label"), "name")
+    ordered = lines.select(F.col("order_id").alias("id"), F.col("order_name").alias("name"), "urgent").distinct()
+    content = [label(parts, "Concept"), label(skills, "Skill"), ordered.select("id", F.when(F.col("urgent"), "Experiment").otherwise("Exercise").alias("label"), "name")]
+    nodes = stored(union([nodes.select("id", "label", "name"), *content]))
+    number = F.regexp_extract("chapter", r"(\d+)$", 1).cast("int")
+    leads = places.select(F.col("chapter").alias("source"), number.alias("k"), "book").distinct()
+    leads = leads.select("source", F.lead("source").over(Window.partitionBy("book").orderBy("k")).alias("target")).where("target IS NOT NULL")
+    typed = [(concept.where("NOT urgent"), "tests_concept"), (skill, "tests_skill"), (concept.where("urgent"), "verifies"), (chain("p_brand", "p_type", "quarter"), "prerequisites_for"), (chain("p_name", "p_brand"), "relates_to"), (star, "is_a"), (leads, "leads_to")]
+    edges_ = stored(union([rows.select("source", "target", F.lit(name).alias("type")) for rows, name in typed]))
+    appears = stored(at.select("source", section_of(F.col("b")).alias("target")))
+    return tasks.Graph(nodes, edges_, stored(graph.locations(nodes, appears, stored(part_of))))
