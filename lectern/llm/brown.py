@@ -199,7 +199,7 @@ def _contexts(vocabulary: np.ndarray, of: np.ndarray, classes: int):
 
 
 def _assign(transition: np.ndarray, class_tokens: np.ndarray):
-    """The class of each word that makes its neighbours likeliest; at the end, in rows without a word, the context counts of each class's words.
+    """The class of each word that makes its neighbours likeliest.
 
     The rows of a word follow each other; one batch and one word's counts are held.
     """
@@ -209,13 +209,11 @@ def _assign(transition: np.ndarray, class_tokens: np.ndarray):
     size = np.log(np.maximum(1.0, class_tokens[:classes]))
 
     def run(batches):
-        total = np.zeros((classes, 2 * kinds), np.int64)
         held, counts = None, np.zeros(2 * kinds)
 
         def chosen(words, table):
             best = (table @ logs - table[:, :kinds].sum(axis=1, keepdims=True) * size).argmax(axis=1)
-            np.add.at(total, best, table.astype(np.int64))
-            return pa.record_batch({"word": pa.array(words, pa.int64()), "class": pa.array(best.astype(np.int32)), "total": pa.array([None] * len(best), pa.list_(pa.int64()))})
+            return pa.record_batch({"word": pa.array(words, pa.int64()), "class": pa.array(best.astype(np.int32))})
 
         for b in batches:
             if not len(b):
@@ -236,16 +234,74 @@ def _assign(transition: np.ndarray, class_tokens: np.ndarray):
                 yield chosen(names[:-1], table[:-1])
         if held is not None:
             yield chosen([held], counts[None])
-            yield pa.record_batch({"word": pa.array([None] * classes, pa.int64()), "class": pa.array(np.arange(classes, dtype=np.int32)), "total": pa.array(total.tolist(), pa.list_(pa.int64()))})
 
     return run
 
 
+def _classes_of(known: np.ndarray, of: np.ndarray, end: int, data: np.ndarray, bounds: np.ndarray):
+    """(words, where tokens of rows begin, class of each token or -1, hash of each token, class and hash of the token before each; an end comes before the first of a row)."""
+    words = W.split(W.lowered(data), bounds, W.not_space())
+    at = np.minimum(np.searchsorted(known, words.hashes), max(0, len(known) - 1))
+    common = known[at] == words.hashes if len(known) else np.zeros(len(at), bool)
+    kinds, where = _with_ends(np.where(common, of[at], -1), words.first, end)
+    names, _ = _with_ends(words.hashes.view(np.int64), words.first, int(END.view(np.int64)))
+    return words, at, common, where, kinds, names, np.append(end, kinds[:-1]), np.append(np.int64(0), names[:-1])
+
+
+def _open_pairs(pick: np.ndarray, before: np.ndarray, last: np.ndarray, kinds: np.ndarray, names: np.ndarray) -> pa.StructArray:
+    """Pairs of neighbours of which one's class is to be looked up: word or 0, and class or -1, of both."""
+    return pa.StructArray.from_arrays([pa.array(np.where(before[pick] < 0, last[pick], 0)), pa.array(before[pick].astype(np.int32)), pa.array(np.where(kinds[pick] >= 0, 0, names[pick])), pa.array(kinds[pick].astype(np.int32))], ["w0", "k0", "w1", "k1"])
+
+
+def _class_pairs(common):
+    """Of each slice its pairs that need a look-up; at the end, in a row of its own, how often each class follows each, of all other pairs."""
+
+    def run(batches):
+        known, of, end, size = common.value
+        grid = np.zeros(size * size, np.int64)
+        for _, data, bounds in W.texts(batches):
+            _, _, _, _, kinds, names, before, last = _classes_of(known, of, end, data, bounds)
+            both = (kinds >= 0) & (before >= 0)
+            grid += np.bincount(before[both] * size + kinds[both], minlength=size * size)
+            pairs = _open_pairs(np.flatnonzero(~both), before, last, kinds, names)
+            yield pa.record_batch({"open": W.lists(pairs, np.array([0, len(pairs)])), "grid": pa.array([None], pa.list_(pa.int64()))})
+        yield pa.record_batch({"open": pa.array([None], pa.list_(pa.struct([("w0", pa.int64()), ("k0", pa.int32()), ("w1", pa.int64()), ("k1", pa.int32())]))), "grid": pa.array([grid.tolist()], pa.list_(pa.int64()))})
+
+    return run
+
+
+def looked_up(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """pairs (w0, k0, w1, k1, ...) with class0, c0, class1 and c1 of the words whose class is -1, null where the lexicon has none."""
+    side = lambda i: lexicon.select(F.col("word").alias(f"w{i}"), F.col("class").alias(f"class{i}"), F.col("c").alias(f"c{i}"))
+    none = lambda i: {f"class{i}": F.lit(None).cast("int"), f"c{i}": F.lit(None).cast("long")}
+    first = pairs.where("k0 >= 0").withColumns(none(0)).unionByName(pairs.where("k0 < 0").join(side(0), "w0", "left"))
+    return first.where("k1 >= 0").withColumns(none(1)).unionByName(first.where("k1 < 0").join(side(1), "w1", "left"))
+
+
+def class_bigrams(rows: DataFrame, lexicon: DataFrame, known: np.ndarray, of: np.ndarray, end: int, size: int) -> np.ndarray:
+    """How often each class follows each in all texts: of all pairs of neighbours, an end before the first word and after the last.
+
+    ``known``: sorted hashes of the common words, with their classes ``of``; the others are joined with the lexicon, which has every
+    word of rows.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((known, of, end, size))
+    counted = stored(rows.mapInArrow(_class_pairs(shared), "open array<struct<w0:long,k0:int,w1:long,k1:int>>, grid array<long>"))
+    zero = F.array_repeat(F.lit(0).cast("long"), size * size)
+    whole = counted.where("grid IS NOT NULL").agg(F.aggregate(F.collect_list("grid"), zero, lambda x, y: F.zip_with(x, y, lambda p, q: p + q)).alias("grid")).first()[0]
+    grid = np.array(whole or [0] * size * size, np.float64).reshape(size, size)
+    found = looked_up(counted.select(F.explode("open").alias("x")).select("x.*"), lexicon)
+    of_side = lambda i: F.when(F.col(f"k{i}") < 0, F.col(f"class{i}")).otherwise(F.col(f"k{i}")).alias(f"k{i}")
+    for a, b, c in found.select(of_side(0), of_side(1)).groupBy("k0", "k1").count().collect():  # a row for each pair of classes
+        grid[a, b] += c
+    drop(counted)
+    return grid
+
+
 def fit(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     """(model, lexicon): lexicon is the stored table (word hash, count c, class) of all training words.
 
-    Class bigrams are counted over all training texts. Of two neighbours outside the vocabulary only the
-    classes' margins are counted: such pairs count as independent.
+    Class bigrams are counted over all pairs of neighbours of all training texts, whatever their words.
     """
     small_batches(train.sparkSession)
     rows = train.select(F.col(text_col).cast("string").alias("text"))
@@ -271,24 +327,9 @@ def fit(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     in_class = np.bincount(of[:size], weights=own, minlength=kinds).astype(np.float64)
     # each word outside the vocabulary: its neighbours' classes, then its own
     contexts = rows.mapInArrow(_contexts(vocabulary, of[:size], classes), "word long, x array<struct<entry:short,c:int>>").repartition("word").sortWithinPartitions("word")
-    assigned = stored(contexts.mapInArrow(_assign(smooth(grid), in_class), "word long, class int, total array<long>"))
-    # the sums of each class over the partitions, one row of fixed width from each
-    nothing = F.array_repeat(F.lit(0).cast("long"), 2 * kinds)
-    added = F.aggregate(F.collect_list("total"), nothing, lambda x, y: F.zip_with(x, y, lambda p, q: p + q))
-    moved = assigned.where("word IS NULL").groupBy("class").agg(added.alias("c")).collect()
-    # the tail's rows and columns go to the classes that its words have now
-    left, right = np.zeros((classes, kinds)), np.zeros((classes, kinds))
-    for k, c in moved:
-        left[k], right[k] = c[:kinds], c[kinds:]
-    pairs_of_tail = grid[tail, tail]
-    grid[tail], grid[:, tail] = 0, 0
-    inner = [c for c in range(kinds) if c != tail]
-    grid[np.ix_(inner, range(classes))] += left[:, inner].T
-    grid[np.ix_(range(classes), inner)] += right[:, inner]
-    if pairs_of_tail:
-        grid[:classes, :classes] += np.outer(right[:, tail], left[:, tail]) / pairs_of_tail
+    assigned = stored(contexts.mapInArrow(_assign(smooth(grid), in_class), "word long, class int"))
     known = train.sparkSession.createDataFrame([(int(h), int(k)) for h, k in zip(vocabulary.view(np.int64), of[:size], strict=True)], "word long, class int")
-    lexicon = stored(counts.join(assigned.where("word IS NOT NULL").select("word", "class").unionByName(known), "word"))
+    lexicon = stored(counts.join(assigned.unionByName(known), "word"))
     drop(assigned)
     in_class, kinds_of = np.zeros(kinds), np.zeros(kinds)
     for k, c, n in lexicon.groupBy("class").agg(F.sum("c"), F.count("*")).collect():
@@ -300,6 +341,8 @@ def fit(train: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     hashes = common.column("word").to_numpy().view(np.uint64)
     at = np.argsort(hashes)
     with_end = lambda values, x: np.append(values[at], x)
+    classes_of = common.column("class").to_numpy().astype(np.int64)[at]
+    grid = class_bigrams(rows, lexicon, hashes[at], np.append(classes_of, last), last, kinds)
     model = Model(with_end(hashes, END), with_end(common.column("c").to_numpy(), ends), with_end(common.column("class").to_numpy().astype(np.int64), last), tail, last, smooth(grid), in_class, kinds_of, tokens, distinct)
     drop(counts)
     return model, lexicon
@@ -318,17 +361,11 @@ def _score(model):
     def run(batches):
         m = Model(**model.value)
         smooth = m.tokens + 1 * (m.words + 1)
-        known = m.known[:-1]
         for rows, data, bounds in W.texts(batches):
             n = len(rows)
-            words = W.split(W.lowered(data), bounds, W.not_space())
-            at = np.minimum(np.searchsorted(known, words.hashes), max(0, len(known) - 1))
-            common = known[at] == words.hashes if len(known) else np.zeros(len(at), bool)
-            kinds, where = _with_ends(np.where(common, m.of[at], -1), words.first, m.end)
+            words, at, common, where, kinds, names, before, last = _classes_of(m.known[:-1], m.of, m.end, data, bounds)
             count, _ = _with_ends(np.where(common, m.counts[at], 0), words.first, int(m.counts[-1]))
-            names, _ = _with_ends(words.hashes.view(np.int64), words.first, int(END.view(np.int64)))
             row = np.repeat(np.arange(n), np.diff(where))
-            before, last = np.append(m.end, kinds[:-1]), np.append(np.int64(0), names[:-1])
             sure = kinds >= 0
             both = sure & (before >= 0)
             factor = np.where(sure, np.log10(count + 1.0), 0.0)
@@ -337,7 +374,7 @@ def _score(model):
             score = np.add.reduceat(factor + rest, where[:-1]) if n else np.zeros(0)
             found = np.add.reduceat(sure & (count > 0), where[:-1], dtype=np.int64)
             open_ = np.flatnonzero(~both)
-            pair = pa.StructArray.from_arrays([pa.array(np.where(before[open_] < 0, last[open_], 0)), pa.array(before[open_].astype(np.int32)), pa.array(np.where(sure[open_], 0, names[open_])), pa.array(kinds[open_].astype(np.int32))], ["w0", "k0", "w1", "k1"])
+            pair = _open_pairs(open_, before, last, kinds, names)
             yield pa.record_batch({
                 "row": rows.column("row"),
                 "id": rows.column("id"),
@@ -381,11 +418,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(model._asdict())
     local = stored(keyed.mapInArrow(_score(shared), shape))
     pairs = local.select("row", F.explode("open").alias("x")).select("row", "x.*")
-    # of a pair the side of class -1 is a word to look up
-    side = lambda i: lexicon.select(F.col("word").alias(f"w{i}"), F.col("class").alias(f"class{i}"), F.col("c").alias(f"c{i}"))
-    none = lambda i: {f"class{i}": F.lit(None).cast("int"), f"c{i}": F.lit(None).cast("long")}
-    first = pairs.where("k0 >= 0").withColumns(none(0)).unionByName(pairs.where("k0 < 0").join(side(0), "w0", "left"))
-    joined = first.where("k1 >= 0").withColumns(none(1)).unionByName(first.where("k1 < 0").join(side(1), "w1", "left"))
+    joined = looked_up(pairs, lexicon)
     of = lambda i: F.when(F.col(f"k{i}") < 0, F.coalesce(f"class{i}", F.lit(model.unknown))).otherwise(F.col(f"k{i}"))
     # the count of a common word is in its text's sum already
     count = F.when(F.col("k1") < 0, F.coalesce("c1", F.lit(0))).otherwise(0)

@@ -253,6 +253,12 @@ def test_scores(spark, monkeypatch, common):
     assert len(classes) == v - 1 and set(classes.values()) <= set(range(6)) and len(set(classes.values())) > 3
     assert np.allclose(model.transition.sum(axis=1), 1) and model.class_tokens.sum() == n and model.class_words.sum() == v
     of = lambda w: model.end if w is None else classes.get(hashed(w), model.unknown)
+    # every pair of neighbours of the training texts is counted as a pair of classes
+    grid = np.zeros_like(model.transition)
+    for i, t in rows:
+        for a, b in zip([None, *split(t)], split(t), strict=False):
+            grid[of(a), of(b)] += not out(i)
+    assert grid.sum() == n and np.allclose(model.transition, (grid + 1) / (grid.sum(1, keepdims=True) + len(grid)))
     for i, t in rows:
         r, words = got[i], split(t)
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(i), len(words), sum(c[w] > 0 for w in words), n)
