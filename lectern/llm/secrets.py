@@ -26,7 +26,7 @@ from lectern.llm.tables import free, small_batches
 #: Characters of a candidate that no keyword names, and of the text before and after it that count as neighbours.
 SHORTEST, NEIGHBOURS = 16, 64
 #: Labelled findings at most, trees and depth of the forest, and the probability from which a candidate is a secret.
-FINDINGS, TREES, DEPTH, LEVEL = 20_000, 40, 8, 0.5
+FINDINGS, TREES, DEPTH, LEVEL = 20_000, 40, 12, 0.5
 REDACTED = "[SECRET]"
 #: Share of all letter trigrams that the usual ones make up.
 USUAL = 0.9
@@ -46,7 +46,13 @@ _NAMED = re.compile(rf"(?:{'|'.join(map(re.escape, KEYWORDS))})[\w.-]*+[\"'`\])]
 _SIGN = re.compile(r"[=:]")
 _VALUE = re.compile(r"[=:]{1,3}>?[ \t]*(?:(?:bearer|basic|token)[ \t]+)?(?:\"([^\"\s]+)|'([^'\s]+)|`([^`\s]+)|([^\s\"'`<>(){}\[\],;&|]+))", re.IGNORECASE)
 
-FEATURES = ("length", "transitions", "entropy", "digits", "uppers", "hex", "repeats", "coverage", "keyword", "assigned", "quoted", "harmless", "slashes", "test_path", "empty_value")
+#: Keys whose own shape or place tells them: bodies of private keys, signed tokens, passwords in addresses, and what a sentence says a keyword is.
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*([A-Za-z0-9+/=\s]*[A-Za-z0-9+/=])\s*-----END [A-Z ]*PRIVATE KEY-----")
+_SIGNED = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_ADDRESS = re.compile(r"://[^\s/:@]{1,64}:([^\s/@]{1,256})@")
+_SAID = re.compile(rf"(?:{'|'.join(map(re.escape, KEYWORDS))})[ \t]+(?:is|was)[ \t]+[\"'`]?([^\s\"'`<>(){{}}\[\],;&|]{{4,}})", re.IGNORECASE)
+
+FEATURES = ("shaped", "said", "length", "transitions", "entropy", "digits", "uppers", "hex", "repeats", "coverage", "keyword", "assigned", "quoted", "harmless", "slashes", "test_path", "empty_value")
 
 
 def _kind(c: str) -> int:
@@ -63,7 +69,10 @@ def describe(token: str, before: str, after: str, path: str, dictionary: set[str
     letters = [g for g in grams if g.isalpha()]
     words = near.split()[-4:]
     beside = " ".join(words)
+    shaped = before.rstrip().endswith("PRIVATE KEY-----") or _SIGNED.fullmatch(token) or (re.search(r"://[^\s/:@]{1,64}:$", before) and after.startswith("@"))
     return [
+        float(bool(shaped)),
+        float(bool(re.search(r"\b(?:is|was)[ \t]+[\"'`]?$", near))),
         float(n),
         sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1),
         -sum(c / n * math.log2(c / n) for c in counts.values()),
@@ -139,22 +148,35 @@ def assigned(text: str):
 def candidates(text: str):
     """(start, end) of every run that may be a secret, none inside another.
 
-    These are the values assigned to a keyword, and elsewhere SHORTEST characters or more of a key's
-    alphabet, a digit among them.
+    These are the bodies of private keys, over several lines too, the values assigned to a keyword, signed tokens,
+    passwords in addresses, what a sentence says a keyword is, and elsewhere SHORTEST characters or more of a
+    key's alphabet, a digit among them.
     """
-    named = list(assigned(text))
-    at, out = 0, list(named)
-    for m in _CANDIDATE.finditer(text):
-        if not _DIGIT.search(m[0]):
-            continue
-        while at < len(named) and named[at][1] <= m.start():
-            at += 1
-        if at == len(named) or named[at][0] >= m.end():
-            out.append(m.span())
-    yield from sorted(out)
-
-
-def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
+    found: list[tuple[int, int]] = []
+
+    def take(spans):
+        at = 0
+        for start, end in spans:
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            if at == len(taken) or taken[at][0] >= end:
+                found.append((start, end))
+
+    groups = (
+        (m.span(1) for m in _PEM.finditer(text)),
+        assigned(text),
+        (m.span() for m in _SIGNED.finditer(text)),
+        (m.span(1) for m in _ADDRESS.finditer(text)),
+        ((m.start(1), m.start(1) + len(m[1].rstrip(".:!?"))) for m in _SAID.finditer(text)),
+        (m.span() for m in _CANDIDATE.finditer(text) if _DIGIT.search(m[0])),
+    )
+    for spans in groups:  # what an earlier group has found is no candidate of a later one
+        taken = sorted(found)
+        take(spans)
+    yield from sorted(found)
+
+
+def made_findings(n: int = 8_000, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
     """Labelled findings (token, before, after, path, label) by a seeded rule, half of them secrets.
 
     Secrets: random keys of usual alphabets and lengths, and short passwords or keys of letters, after an
@@ -172,7 +194,7 @@ def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, st
         path = rng.choice(["src1", "app/config.py", "deploy/env", "notes.txt", "tests/data.py"])
         shout = rng.random() < 0.15
         if i % 2:
-            token = rng.choice([lambda: key(hex_, (32, 40, 48, 64)), lambda: key(base, (20, 24, 32, 40, 64)), lambda: "AKIA" + key(upper, (16,)), lambda: "ghp_" + key(base, (36,)), lambda: key(base + "+/", (40, 44)) + "=", lambda: key(base[:52], (16, 20, 24, 32)), lambda: key(base + "!#$%@_-", range(6, 16)), lambda: "".join(word() for _ in range(3))])()
+            token = rng.choice([lambda: key(hex_, (32, 40, 48, 64)), lambda: key(base, (20, 24, 32, 40, 64)), lambda: "AKIA" + rng.choice([key(upper, (16,)), "".join(word() for _ in range(8)).upper()[:16]]), lambda: "ghp_" + key(base, (36,)), lambda: key(base + "+/", (40, 44)) + "=", lambda: key(base[:52], (16, 20, 24, 32)), lambda: key(base + "!#$%@_-", range(6, 16)), lambda: "".join(word() for _ in range(3))])()
             name = rng.choice(KEYWORDS)
             quote = rng.choice(['"', '"', "'", ""])
             before, after = rng.choice([
@@ -180,13 +202,23 @@ def made_findings(n: int = 4_000, seed: int = 5) -> list[tuple[str, str, str, st
                 lambda: (f"{prose()} {rng.choice(['', word().upper() + '_', 'export '])}{rng.choice([name, name.upper()])}{rng.choice('==:')}{quote}", quote + " " + prose()),
                 lambda: (f"{prose()} {rng.choice(['https://', 'http://', ''])}{word()}.org/{word()}{rng.choice('?&')}{name}=", rng.choice(["", "&" + word() + "=1"]) + " " + prose()),
             ])()
+            if rng.random() < 0.1:
+                before, after = f"{prose()} {name} {rng.choice(['is', 'was'])} {quote}", quote + rng.choice([" ", ". ", ", "]) + prose()
+            elif rng.random() < 0.1:
+                # keys that their own shape or place tells
+                token, before, after = rng.choice([
+                    lambda: ("\n".join(key(base + "+/", (64,)) for _ in range(rng.randint(2, 12))) + "==", f"{prose()} -----BEGIN {rng.choice(['', 'RSA ', 'EC '])}PRIVATE KEY-----\n", "\n-----END " + prose()),
+                    lambda: ("eyJ" + key(base, (17, 33)) + "." + key(base, (40, 90)) + "." + key(base, (43,)), prose() + " ", " " + prose()),
+                    lambda: (key(base + "!#$%_-", range(6, 20)), f"{prose()} {rng.choice(['mysql', 'https', 'postgres', 'amqp'])}://{word()}:", f"@{word()}.org/{word()} " + prose()),
+                ])()
+                shout = False
         else:
             token = rng.choice([lambda: key(hex_, (32, 40, 64)), lambda: "".join(word() for _ in range(5)) + str(rng.randint(0, 99)), lambda: rng.choice("xX0*a") * rng.randint(16, 40) + "1", lambda: "/".join(word() for _ in range(4)) + f"/{rng.randint(1, 999)}", lambda: "-".join(key(hex_, (k,)) for k in (8, 4, 4, 4, 12)), lambda: key("0123456789", (16, 18, 20, 24)), lambda: f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}-{word()}-{word()}"])()
             before, after = rng.choice([f"{prose()} {rng.choice(HARMLESS)} ", f"{prose()} {rng.choice(HARMLESS)}: ", f"{prose()} {rng.choice(HARMLESS)}=", f"{prose()} {word()}=", prose() + " "]), " " + prose()
             if rng.random() < 0.4:
                 # a word of the text, or a placeholder, is no key although a keyword stands before it
                 token = rng.choice([word, lambda: word().title(), lambda: rng.choice(EMPTY_VALUES), lambda: rng.choice(EMPTY_VALUES).title(), lambda: rng.choice(["xxxx", "****", "your-" + word()]), lambda: rng.choice("xX*.") * rng.randint(6, 40)])()
-                before, after = f"{prose()} {rng.choice(KEYWORDS)}{rng.choice(['=', ' = ', ': ', ': '])}", f" {prose()} {token if token.isalpha() and rng.random() < 0.5 else word()} {prose()}"
+                before, after = f"{prose()} {rng.choice(KEYWORDS)}{rng.choice(['=', ' = ', ': ', ': ', ' is '])}", f" {prose()} {token if token.isalpha() and rng.random() < 0.5 else word()} {prose()}"
         if shout:
             token, before = token.upper(), before.upper()
         out.append((token, before, after, path, i % 2))
