@@ -251,7 +251,8 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     one shingle, and null or empty ones, or without words, have none and link with nothing: their
     component is their own id. Two documents link when 100 * shared >= percent * all shingles.
     Ids are integers; rows of one id are one document and share a component. Rows without an id count
-    as one document where their texts are equal; their component is null unless it has an id.
+    as one document where their texts are equal; their component is null unless it has an id. An empty table
+    gives empty ones.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent is over 50 and at most 100")

@@ -50,7 +50,8 @@ _VALUE = re.compile(r"[=:]{1,3}>?[ \t]*(?:(?:bearer|basic|token)[ \t]+)?(?:\"([^
 _PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*([A-Za-z0-9+/=\s]*[A-Za-z0-9+/=])\s*-----END [A-Z ]*PRIVATE KEY-----")
 _SIGNED = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 _ADDRESS = re.compile(r"://[^\s/:@]{1,64}:([^\s/@]{1,256})@")
-_SAID = re.compile(rf"(?:{'|'.join(map(re.escape, KEYWORDS))})[ \t]+(?:is|was)[ \t]+[\"'`]?([^\s\"'`<>(){{}}\[\],;&|]{{4,}})", re.IGNORECASE)
+_SAID = re.compile(r"[ \t](?:is|was)[ \t]+[\"'`]?([^\s\"'`<>(){}\[\],;&|]{4,})", re.IGNORECASE)
+_ENDS = re.compile(rf"(?:{'|'.join(map(re.escape, KEYWORDS))})[ \t]*$", re.IGNORECASE)
 
 FEATURES = ("shaped", "said", "length", "transitions", "entropy", "digits", "uppers", "hex", "repeats", "coverage", "keyword", "assigned", "quoted", "harmless", "slashes", "test_path", "empty_value")
 
@@ -167,7 +168,7 @@ def candidates(text: str):
         assigned(text),
         (m.span() for m in _SIGNED.finditer(text)),
         (m.span(1) for m in _ADDRESS.finditer(text)),
-        ((m.start(1), m.start(1) + len(m[1].rstrip(".:!?"))) for m in _SAID.finditer(text)),
+        ((m.start(1), m.start(1) + len(m[1].rstrip(".:!?"))) for m in _SAID.finditer(text) if _ENDS.search(text[max(0, m.start() - NEIGHBOURS) : m.start()])),
         (m.span() for m in _CANDIDATE.finditer(text) if _DIGIT.search(m[0])),
     )
     for spans in groups:  # what an earlier group has found is no candidate of a later one

@@ -211,7 +211,7 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
     integer id. Windows are judged on the input. A null or empty text has no words and keeps an empty
     string; a text shorter than the window keeps all. Rows of one id are judged each on its own text,
     and none is earlier than the other. A null id is later than all others, which lie below NULLS.
-    Other columns are not read.
+    Other columns are not read. An empty table gives an empty one.
     """
     if not anchor < window <= DEPTH:
         raise ValueError(f"anchor < window <= {DEPTH} is asked for")

@@ -180,7 +180,8 @@ def count(docs: DataFrame, scores: dict[bytes, float] | None = None, id_col: str
 
     Pre-tokens are the text's words ``[^\\x20\\x09-\\x0D]+``, each with the mark of a space before it,
     whatever its length. Segmentations have the highest total score; of equal ones, the one whose last
-    piece is longer. A null or empty text has 0 tokens. Other columns are not read.
+    piece is longer. A null or empty text has 0 tokens. Rows of one id, and rows without one, are counted each on their
+    own. Other columns are not read. An empty table gives an empty one.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
