@@ -28,11 +28,10 @@ HOT_WORDS = 100_000
 #: Windows in one passage at most; a longer run of windows with one anchor is cut into several passages.
 PASSAGE_WINDOWS = 128
 
+#: A null id stands for this one in the order of documents.
 NO_ID = (1 << 63) - 1
-#: Stand-ins for null ids lie from here on, one for each text; as far as order goes they are all this value.
-NULLS = (1 << 63) - (1 << 41)
 
-_PASSAGES = "id long, start int, n int, anchor long, passage long"
+_PASSAGES = "row long, id long, start int, n int, anchor long, passage long"
 _BODIES = "anchor long, passage long, n int, id long, last long, hot boolean, body binary"
 _RUNS = "array<struct<at:int,size:int,first_id:long>>"
 
@@ -69,6 +68,7 @@ def _passages(window: int, anchor: int):
             begin, size = begin[of] + offset * PASSAGE_WINDOWS, np.minimum(size[of] - offset * PASSAGE_WINDOWS, PASSAGE_WINDOWS)
             start, r = at[begin], row[begin]
             yield pa.record_batch({
+                "row": rows.column("row").take(pa.array(r)),
                 "id": rows.column("id").take(pa.array(r)),
                 "start": pa.array((start - first[r]).astype(np.int32)),
                 "n": pa.array(size.astype(np.int32)),
@@ -210,31 +210,28 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
     A word goes if a window of ``window`` words that covers it also starts in a row with a smaller
     integer id. Windows are judged on the input. A null or empty text has no words and keeps an empty
     string; a text shorter than the window keeps all. Rows of one id are judged each on its own text,
-    and none is earlier than the other. A null id is later than all others, which lie below NULLS.
-    Other columns are not read. An empty table gives an empty one.
+    and none is earlier than the other. A null id is later than all others, which lie below NO_ID.
+    Rows are stored once with a number, by which passages come back to them, so that rows of one id
+    do not carry each other's. Other columns are not read. An empty table gives an empty one.
     """
     if not anchor < window <= DEPTH:
         raise ValueError(f"anchor < window <= {DEPTH} is asked for")
     small_batches(docs.sparkSession)
-    text = F.col(text_col).cast("string")
-    stand_in = F.lit(NULLS) + F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 40))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), stand_in).alias("id"), F.col(id_col).alias("key"), text.alias("text"))
-    texts = rows.select("id", "text")
+    order = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), order, F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")))
+    texts = rows.select("row", "id", "text")
     place = ["anchor", "passage", "n"]
 
-    def order(column: str):
-        return F.least(F.col(column), F.lit(NULLS))
-
     def with_texts(passages: DataFrame) -> DataFrame:
-        wanted = passages.groupBy("id").agg(F.collect_list(F.struct("start", *place, "last", "hot")).alias("want"))
-        return wanted.join(texts, "id").select("id", "text", "want")
+        wanted = passages.groupBy("row").agg(F.collect_list(F.struct("start", *place, "last", "hot")).alias("want"))
+        return wanted.join(texts, "row").select("id", "text", "want")
 
     # Passages whose anchor also stands in another document, and each distinct one with the least id that has it.
     everywhere = stored(texts.mapInArrow(_passages(window, anchor), _PASSAGES))
-    twice = everywhere.groupBy("anchor").agg(F.min(order("id")).alias("lo"), F.max(order("id")).alias("hi")).where("lo < hi").select("anchor")
+    twice = everywhere.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
     found = stored(everywhere.join(twice, "anchor"))
     drop(everywhere)
-    one = stored(found.groupBy(*place).agg(F.min(F.struct("id", "start")).alias("first"), F.max(order("id")).alias("last")).select(*place, "first.*", "last"))
+    one = stored(found.groupBy(*place).agg(F.min(F.struct("id", "row", "start")).alias("first"), F.max("id").alias("last")).select(*place, "first.*", "last"))
     hot = stored(one.groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("held")).where(F.col("held") > HOT_WORDS).select("anchor"))
     some_hot = not hot.isEmpty()
     marked = one.join(hot.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
@@ -247,7 +244,7 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
         split = bodies.where("hot").select(*(F.col(k).alias(f"of_{k}") for k in place), "id", "last", F.col("body").cast("string").alias("text"))
         windows = stored(split.mapInArrow(_windows(window), "of_anchor long, of_passage long, of_n int, id long, last long, at int, anchor long"))
         least = F.min(F.struct("id", "at", *whole)).alias("first")
-        again = windows.groupBy("anchor").agg(least, F.min(order("id")).alias("lo"), F.max("last").alias("last")).where("lo < last").select("anchor", "last", "first.at", *(f"first.{k}" for k in whole))
+        again = windows.groupBy("anchor").agg(least, F.min("id").alias("lo"), F.max("last").alias("last")).where("lo < last").select("anchor", "last", "first.at", *(f"first.{k}" for k in whole))
         part = F.struct(F.col("at").alias("start"), "anchor", F.col("anchor").alias("passage"), F.lit(1).alias("n"), "last", F.lit(False).alias("hot"))
         want = again.groupBy(*whole).agg(F.collect_list(part).alias("want"))
         single = stored(split.join(want, whole).select("id", "text", "want").mapInArrow(_cut(window), _BODIES))
@@ -263,9 +260,9 @@ def dedup(docs: DataFrame, window: int = 50, anchor: int = 10, id_col: str = "do
         of_passage = of_window.groupBy(*(F.col(f"of_{k}").alias(k) for k in place)).agg(F.collect_list(F.struct("at", F.lit(1).alias("size"), "first_id")).cast(_RUNS).alias("runs"))
         answers = answers.join(hot, "anchor", "left_anti").unionByName(of_passage)
     covered = found.join(answers, place)
-    runs = covered.select("id", "start", "n", "passage", F.explode(F.filter("runs", lambda r: r.first_id < order("id"))).alias("run"))
-    by_id = runs.groupBy("id").agg(F.collect_list(F.struct("start", "n", "passage", "run.at", "run.size")).alias("found"))
+    runs = covered.select("row", "start", "n", "passage", F.explode(F.filter("runs", lambda r: r.first_id < F.col("id"))).alias("run"))
+    by_row = runs.groupBy("row").agg(F.collect_list(F.struct("start", "n", "passage", "run.at", "run.size")).alias("found"))
     empty = F.array().cast("array<struct<start:int,n:int,passage:long,at:int,size:int>>")
-    joined = rows.join(by_id, "id", "left").select("key", "text", F.coalesce("found", empty).alias("found"))
+    joined = rows.join(by_row, "row", "left").select("key", "text", F.coalesce("found", empty).alias("found"))
     kind = docs.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(_apply(window), f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept string").withColumnRenamed("id", id_col)
