@@ -99,3 +99,52 @@ def test_reindex_has_no_window_over_a_book(spark):
     got = resolve.reindex(nodes)
     assert {r.id: r.new_id for r in got.collect()} == {f"math_7a_rjb_x{i}": f"math_7a_rjb_{['cpt', 'skl'][i % 3]}{i // 3 + 1}" for i in range(30) if i % 3 < 2}
     assert "row_number" not in got._jdf.queryExecution().toString()
+
+
+def _sizes(spark, monkeypatch):
+    """Rows of all tables that graph stores from now on."""
+    sizes, plain = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df: (lambda t: sizes.append(t.count()) or t)(plain(df)))
+    return sizes
+
+
+def test_pairs_of_chains_are_not_stored(spark, monkeypatch):
+    """A chain of 100 nodes has 4,950 pairs; only its nodes and edges are stored. Branches, rings and what touches them go the general way."""
+    chain = [(i, i + 1) for i in range(100)]
+    other = [(200, 201), (201, 202), (202, 200), (202, 203), (301, 302), (300, 302), (302, 303), (400, 400), (401, 402), (402, 401)]
+    sizes = _sizes(spark, monkeypatch)
+    found = graph.closure(spark.createDataFrame(chain, "source long, target long"))
+    assert {tuple(r) for r in found.collect()} == {(i, j) for i in range(101) for j in range(i + 1, 101)}
+    assert found.count() == 5050 and max(sizes) <= 101
+    mixed = graph.closure(spark.createDataFrame(chain[:9] + other, "source long, target long")).collect()
+    expected = set(chain[:9] + other)
+    while True:
+        more = {(a, d) for a, b in expected for c, d in expected if b == c} - expected
+        if not more:
+            break
+        expected |= more
+    assert sorted(map(tuple, mixed)) == sorted(expected)
+
+
+def test_blocks_of_a_chain(spark):
+    at = spark.createDataFrame([(i, 0, 10 - i) for i in range(11)], "node long, end long, left long")
+    rows = [tuple(r) for r in graph.along(at, block=3).collect()]
+    assert sorted(rows) == [(i, j) for i in range(11) for j in range(i + 1, 11)]
+
+
+def test_long_rings_are_listed_without_their_paths(spark, monkeypatch):
+    ring = [(i, (i + 1) % 60) for i in range(60)]
+    sizes = _sizes(spark, monkeypatch)
+    found = graph.cycles(spark.createDataFrame(ring + [(70, 71), (71, 70), (71, 72), (72, 71)], "source long, target long")).collect()
+    assert [tuple(r) for r in found] == [(">".join(map(str, range(60))), 60), ("70>71", 2), ("71>72", 2)]
+    assert sum(sizes) < 60 * 20
+
+
+def test_pool_keeps_pairs_of_one_place_apart(spark, monkeypatch):
+    """Queries with one place need no distinct over pairs; those with several give each node once."""
+    at = spark.createDataFrame([("a", "section", "x"), ("b", "section", "x"), ("b", "section", "y"), ("n", "section", "x"), ("n", "section", "y"), ("m", "section", "y"), ("n", "section", "x")], "node_id string, level string, value string")
+    nodes = spark.createDataFrame([("n", "Concept"), ("m", "Concept"), ("a", "Skill")], "id string, label string")
+    asked = spark.createDataFrame([("a", "a"), ("b", "b")], "query string, node string")
+    for salts in (1, 3):
+        rows = graph.pool(at, nodes, asked, "section", ("Concept",), salts)
+        assert sorted(map(tuple, rows.collect())) == [("a", "n"), ("b", "m"), ("b", "n")]
