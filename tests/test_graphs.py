@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import components, fixpoint, graph, resolve
+from lectern.operators import components, fixpoint, graph, resolve, tasks
 
 
 def plain_components(edges):
@@ -148,3 +148,18 @@ def test_pool_keeps_pairs_of_one_place_apart(spark, monkeypatch):
     for salts in (1, 3):
         rows = graph.pool(at, nodes, asked, "section", ("Concept",), salts)
         assert sorted(map(tuple, rows.collect())) == [("a", "n"), ("b", "m"), ("b", "n")]
+
+
+def test_wider_layers_are_stored_once(spark, monkeypatch):
+    """A wider layer is added to the ones before without writing these again, and full queries get no more."""
+    nodes = spark.createDataFrame([(x, "Concept", x) for x in "abcdef"], "id string, label string, name string")
+    places = [("a", "section", "s"), ("b", "section", "s"), ("a", "chapter", "c"), ("c", "chapter", "c"), ("a", "book", "k"), ("d", "book", "k"), ("a", "subject", "u"), ("e", "subject", "u")]
+    g = tasks.Graph(nodes, spark.createDataFrame([], "source string, target string, type string"), spark.createDataFrame(places, "node_id string, level string, value string"))
+    rows = lambda data, columns: spark.createDataFrame(data, columns)
+    parts = tasks.Parts(rows([("q", "a")], "query string, node string"), rows([("q", "f")], "query string, node string"), rows([("q", 1, "f")], "query string, layer int, node string"), ("Concept",), 3, (("Concept",), 2, False))
+    kept, plain = [], tasks.stored
+    monkeypatch.setattr(tasks, "stored", lambda df: (lambda t: kept.append(t) or t)(plain(df)))
+    found = sorted(tuple(r) for r in tasks.filled(g, parts).select("query", "layer", "node").collect())
+    assert found == [("q", 1, "f"), ("q", 2, "a"), ("q", 2, "b"), ("q", 3, "a"), ("q", 3, "c"), ("q", 4, "a"), ("q", 4, "d")]
+    written = [tuple(r) for t in kept if "layer" in t.columns for r in t.select("query", "layer", "node").collect()]
+    assert sorted(written) == found
