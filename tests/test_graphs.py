@@ -163,3 +163,37 @@ def test_wider_layers_are_stored_once(spark, monkeypatch):
     assert found == [("q", 1, "f"), ("q", 2, "a"), ("q", 2, "b"), ("q", 3, "a"), ("q", 3, "c"), ("q", 4, "a"), ("q", 4, "d")]
     written = [tuple(r) for t in kept if "layer" in t.columns for r in t.select("query", "layer", "node").collect()]
     assert sorted(written) == found
+
+
+def test_places_past_a_full_layer_are_not_made(spark):
+    """Layers of earlier places are made only for first places whose layers before may be short; what layered() keeps is what all pairs give."""
+    sections = [f"physics_{code}_rjb_ch{c}_s{s}" for code in ("7a", "8a") for c in range(1, 5) for s in range(1, 5)]
+    nodes = [(s, "Section", s) for s in sections] + [(f"physics_8a_rjb_cpt{i}", "Concept", f"c{i}") for i in range(3)]
+    placed = [("physics_8a_rjb_cpt0", sections[-1]), ("physics_8a_rjb_cpt1", sections[17]), ("physics_8a_rjb_cpt2", sections[0])]
+    n = spark.createDataFrame(nodes, "id string, label string, name string")
+    appears = spark.createDataFrame(placed, "source string, target string")
+    part_of = spark.createDataFrame([(s, s.rsplit("_s", 1)[0]) for s in sections], "source string, target string")
+    g = tasks.Graph(n, spark.createDataFrame([], "source string, target string, type string"), graph.locations(n, appears, part_of))
+    parts = tasks.first_place(g, "Section")
+    made = {(r.query[-1], r.layer) for r in parts.candidates.select("query", "layer").distinct().collect()}
+    # the last place has 15 names in its book, the 18th has 3 in its chapter and 17 in its stage, the first has 3 and none before it
+    assert made == {("0", 1), ("0", 2), ("0", 3), ("1", 1), ("1", 2), ("1", 3), ("1", 4), ("2", 1), ("2", 2)}
+
+
+def test_pairs_of_one_value_are_dealt_to_many_tasks(spark):
+    rows = spark.range(40).selectExpr("id AS query", "'x' AS value")
+    members = spark.range(50).selectExpr("id AS node", "'x' AS value")
+    made = graph.dealt(rows, members, ["value"], 1)
+    assert made.distinct().count() == 2000
+    assert made.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_graph_of_chapters_has_no_content(spark):
+    from lectern.plans.standin import school
+
+    g = school(spark, "/root/testdata/sf0.001", (), ("leads_to",))
+    whole = school(spark, "/root/testdata/sf0.001")
+    assert {r.label for r in g.nodes.select("label").distinct().collect()} == {"Book", "Chapter", "Section"}
+    assert {r.type for r in g.edges.select("type").distinct().collect()} == {"leads_to"}
+    assert sorted(g.edges.collect()) == sorted(whole.edges.where("type = 'leads_to'").collect())
+    assert sorted(g.nodes.collect()) == sorted(whole.nodes.where("label IN ('Book', 'Chapter', 'Section')").collect())
