@@ -197,3 +197,17 @@ def test_graph_of_chapters_has_no_content(spark):
     assert {r.type for r in g.edges.select("type").distinct().collect()} == {"leads_to"}
     assert sorted(g.edges.collect()) == sorted(whole.edges.where("type = 'leads_to'").collect())
     assert sorted(g.nodes.collect()) == sorted(whole.nodes.where("label IN ('Book', 'Chapter', 'Section')").collect())
+
+
+def test_hops_of_an_answer_are_found_once(spark, monkeypatch):
+    """Task 2.1 starts its hops from each node once, however many queries it answers."""
+    chain = [(f"n{i}", f"n{i + 1}", "prerequisites_for") for i in range(9)]
+    nodes = spark.createDataFrame([(f"n{i}", "Concept", f"n{i}") for i in range(10)], "id string, label string, name string")
+    g = tasks.Graph(nodes, spark.createDataFrame(chain, "source string, target string, type string"), spark.createDataFrame([], "node_id string, level string, value string"))
+    starts, plain = [], graph.exact_hops
+    monkeypatch.setattr(graph, "exact_hops", lambda pairs, rows, hops=2: starts.append(rows.count()) or plain(pairs, rows, hops))
+    parts = tasks.predecessors(g)
+    assert starts == [9]
+    found = {(r.query, r.node) for r in parts.candidates.where("layer = 2").collect()}
+    # two steps after an answer, or before it where that is no answer itself
+    assert found == {(f"n{i}", f"n{j + 2}") for i in range(1, 10) for j in range(i) if j + 2 < 10 and j + 2 >= i}
