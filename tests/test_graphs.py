@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import components, fixpoint, graph, resolve, tasks
+from lectern.operators import components, fixpoint, graph, layers, resolve, tasks
 
 
 def plain_components(edges):
@@ -165,6 +165,20 @@ def test_wider_layers_are_stored_once(spark, monkeypatch):
     assert sorted(written) == found
 
 
+def test_rows_of_a_query_are_moved_once(spark):
+    """Answers and their names go without moving the rows again, also of a union, and a node in several places of a query is one pair."""
+    rows = spark.createDataFrame([("q", "a", "x"), ("q", "b", "y"), ("q", "c", "z"), ("r", "a", "x")], "query string, node string, name string")
+    barred, taken = spark.createDataFrame([("q", "a")] * 2, "query string, node string"), spark.createDataFrame([("q", "z")], "query string, name string")
+    kept = layers.without(rows.union(rows), barred, taken)
+    assert sorted(map(tuple, kept.collect())) == [("q", "b", "y")] * 2 + [("r", "a", "x")] * 2
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Repartition") < plan.index("Union")
+    places = spark.createDataFrame([(f"q{i}", v) for i in range(130) for v in ("s", "t")], "query string, value string")
+    members = spark.createDataFrame([(v, n, n, "Concept") for v in "st" for n in "ab"] + [("u", "c", "c", "Concept")], "value string, node string, name string, label string")
+    found = tasks._pairs(places, members, ["value"]).collect()
+    assert sorted((r.query, r.node) for r in found) == sorted((f"q{i}", n) for i in range(130) for n in "ab")
+
+
 def test_places_past_a_full_layer_are_not_made(spark):
     """Layers of earlier places are made only for first places whose layers before may be short; what layered() keeps is what all pairs give."""
     sections = [f"physics_{code}_rjb_ch{c}_s{s}" for code in ("7a", "8a") for c in range(1, 5) for s in range(1, 5)]
