@@ -179,6 +179,20 @@ def test_rows_of_a_query_are_moved_once(spark):
     assert sorted((r.query, r.node) for r in found) == sorted((f"q{i}", n) for i in range(130) for n in "ab")
 
 
+def test_edges_are_aggregated_in_all_parts_of_a_shuffle(spark):
+    """Edges are moved once for their sources, and their parts are not merged by size."""
+    nodes = spark.createDataFrame([(x, x.upper()) for x in "abc"] + [(f"o{i}", "") for i in range(40)], "id string, name string")
+    edges = spark.createDataFrame([(f"o{i}", t, "tests_concept", o) for i in range(40) for o, t in enumerate("bab")], "source string, target string, type string, ord int")
+    mapping = spark.createDataFrame([("c", "a")], "id string, canonical string")
+    rows = resolve.aggregated(resolve.rebuild_edges(edges, mapping, nodes))
+    assert {tuple(t.target + t.target_name for t in r.target_name_to_ids) for r in rows.collect()} == {("bB", "aA")}
+    assert rows.count() == 40
+    tasks_ = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = resolve.aggregated(resolve.rebuild_edges(edges, mapping, nodes))._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(moved) == 3 and all(f", {tasks_})" in line for line in moved)
+
+
 def test_places_past_a_full_layer_are_not_made(spark):
     """Layers of earlier places are made only for first places whose layers before may be short; what layered() keeps is what all pairs give."""
     sections = [f"physics_{code}_rjb_ch{c}_s{s}" for code in ("7a", "8a") for c in range(1, 5) for s in range(1, 5)]
