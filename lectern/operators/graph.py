@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import ids
 from lectern.operators.components import strong
-from lectern.operators.fixpoint import dropped, stored, union
+from lectern.operators.fixpoint import dropped, ranked, stored, union
 
 LEVELS = ("section", "chapter", "book", "subject_stage", "subject")
 
@@ -53,12 +53,23 @@ def exact_hops(pairs: DataFrame, starts: DataFrame, hops: int = 2) -> DataFrame:
 
     pairs: (node, other), both directions; starts: (query, node).
     """
-    seen = frontier = starts.select("query", "node").distinct()
+    # queries are bits of blocks of 63, those of one least neighbour side by side, so that rows of a hub's queries move as one
+    starts = stored(starts.select("query", "node").where("query IS NOT NULL AND node IS NOT NULL").distinct())
+    pairs = stored(pairs)
+    near = starts.join(pairs, "node", "left").groupBy("query").agg(F.min("other").alias("_near"))
+    asked = stored(ranked(near, "_near", "query").select("query", F.floor(F.col("n") / 63).alias("_block"), (F.col("n") % 63).cast("int").alias("_bit")))
+    together = lambda rows: rows.groupBy("_block", "node").agg(F.bit_or("_bits").alias("_bits"))
+    seen = frontier = stored(together(starts.join(asked, "query").select("_block", "node", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit")).alias("_bits"))))
     for _ in range(hops):
-        step = frontier.join(pairs, "node").select("query", F.col("other").alias("node")).distinct()
-        frontier = step.join(seen, ["query", "node"], "left_anti")
-        seen = seen.unionByName(frontier)
-    return frontier
+        step = together(frontier.join(pairs, "node").select("_block", F.col("other").alias("node"), "_bits"))
+        before = seen.withColumnRenamed("_bits", "_seen")
+        new = step.join(before, ["_block", "node"], "left").withColumn("_bits", F.col("_bits").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0).cast("long")))))
+        frontier = stored(new.where("_bits <> 0").select("_block", "node", "_bits"))
+        seen = together(seen.unionByName(frontier))
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    there = F.call_function("shiftright", F.col("_bits"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1
+    # few rows give many pairs: as many tasks as there are, however small their input
+    return frontier.repartition(tasks, "_block").join(asked, "_block").where(there).select("query", "node")
 
 
 def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:

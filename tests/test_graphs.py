@@ -193,6 +193,15 @@ def test_edges_are_aggregated_in_all_parts_of_a_shuffle(spark):
     assert len(moved) == 3 and all(f", {tasks_})" in line for line in moved)
 
 
+def test_hops_of_a_hub_are_not_moved_as_pairs(spark):
+    """Leaves of a hub see each other in two hops; what is moved are blocks of queries, not pairs."""
+    pairs = spark.createDataFrame([p for i in range(130) for p in ((0, i + 1), (i + 1, 0))], "node long, other long")
+    starts = spark.createDataFrame([(f"q{i}", i) for i in range(131)] + [("both", 0), ("both", 1)], "query string, node long")
+    found = graph.exact_hops(pairs, starts)
+    assert sorted(map(tuple, found.collect())) == sorted((f"q{i}", j) for i in range(1, 131) for j in range(1, 131) if i != j)
+    assert "hashpartitioning(query" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_places_past_a_full_layer_are_not_made(spark):
     """Layers of earlier places are made only for first places whose layers before may be short; what layered() keeps is what all pairs give."""
     sections = [f"physics_{code}_rjb_ch{c}_s{s}" for code in ("7a", "8a") for c in range(1, 5) for s in range(1, 5)]
