@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import words as W
 from lectern.llm.graph import stars
-from lectern.llm.tables import drop, most_rows, small_batches, spread_join, stored
+from lectern.llm.tables import bucketed, drop, drop_bucketed, most_rows, small_batches, spread_join, stored
 
 #: Shingles in a range, on average, at the top of a size band.
 BLOCK = 3
@@ -276,7 +276,8 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
     drop(by_node)
     marked = stored(tiles.select("node").distinct())
     bits = stored(sets.join(marked, sets["id"] == marked["node"], "left_semi").select(F.col("id").alias("node"), "n", "bits"))
-    bodies = stored(rows.join(marked, rows["id"] == marked["node"], "left_semi").select(F.col("id").alias("node"), "text"))
+    # texts are moved once, here, and not for each end of the pairs of each round; a merge join deals them by node
+    bodies = bucketed(rows.join(marked.hint("merge"), rows["id"] == marked["node"], "left_semi").select(F.col("id").alias("node"), "text"), "node")
     drop(sets)
     drop(marked)
 
@@ -339,8 +340,9 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_i
         links = links.unionByName(new)
         if not new.isEmpty():
             roots = stars(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    for table in (tiles, bits, bodies):
+    for table in (tiles, bits):
         drop(table)
+    drop_bucketed(bodies)
     kind = docs.schema[id_col].dataType.simpleString()
     named = grouped(members, roots).select(F.when(F.col("id") < NO_ID, F.col("id")).cast(kind).alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("root") < NO_ID, F.col("root")).cast(kind).alias("component_id"))
     return named, links

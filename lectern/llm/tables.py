@@ -59,6 +59,26 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """df as a table in the shared folder, bucketed by key: joins by key move only the other side. drop_bucketed() removes it.
+
+    df comes dealt by key in as many parts as a shuffle has, else each task writes a file a bucket.
+    """
+    spark = df.sparkSession
+    name = f"lectern_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", f"{folder(spark)}/{name}").saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """Remove a table from bucketed()."""
+    (name,) = {x.rsplit("/", 2)[-2] for x in df.inputFiles()[:1]} or {None}
+    drop(df)
+    if name:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 #: Rows of one key that a task of a join may get before they are parted.
 HOT_ROWS = 2_048
 

@@ -535,6 +535,19 @@ def test_jaccard(spark, monkeypatch, tile):
     assert jaccard.join(empty(spark))[0].count() == 0
 
 
+def test_joins_with_a_bucketed_table_move_the_other_side_alone(spark):
+    from lectern.llm.tables import bucketed, drop_bucketed, spread_join
+
+    texts = bucketed(spark.range(50).select(F.col("id").alias("node"), F.col("id").cast("string").alias("text")).repartition(4, "node"), "node")
+    pairs = spark.range(40).select((F.col("id") % 10).alias("a"), "id").hint("merge")
+    got = spread_join(pairs, texts.withColumnsRenamed({"node": "a", "text": "x"}).hint("merge"), "a", "id", 1)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and got.where("x = cast(a as string)").count() == 40
+    name = texts.inputFiles()[0].rsplit("/", 2)[-2]
+    drop_bucketed(texts)
+    assert not spark.catalog.tableExists(name)
+
+
 def test_jaccard_of_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f g h"), (1, "other words entirely here now"), (None, "a b c d e f g h"), (2, "other words entirely here now"), (None, "q"), (3, "q"), (None, "alone"), (None, "alone"), (None, None), (5, None)]
     got = sorted(map(tuple, jaccard.join(table(spark, rows))[0].collect()), key=repr)
