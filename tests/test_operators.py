@@ -28,6 +28,16 @@ def test_fold_properties(spark):
     assert [(r.id, r.definition, r.examples, r.importance) for r in got.collect()] == [("a", "longer one", ["p", "q", "r"], "imp")]
 
 
+
+def test_dedup_nodes_works_out_names_and_ids_once(spark):
+    n = spark.createDataFrame([("a", "Concept", "Force", 1), ("b", "Concept", "force", 2), ("b", "Skill", "push", 3), (None, "Concept", "lost", 4)], "id string, label string, name string, ord int")
+    got, mapping = resolve.dedup_nodes(n)
+    assert sorted(map(tuple, got.select("id", "label", "name", "grouped").collect())) == [("a", "Concept", "Force", True), ("a", "Skill", "push", True)]
+    assert {tuple(r) for r in mapping.collect()} == {("a", "a"), ("b", "a"), (None, None)}
+    # the mapping reads what the nodes read: nothing is moved for it again
+    assert "Exchange" not in mapping._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rebuild_edges(spark):
     n = nodes(spark, [("a", "Concept", "A"), ("b", "Concept", "B"), ("x", "Exercise", "X")])
     e = edges(spark, [("a", "b", "is_a"), ("a2", "b", "is_a"), ("a", "a2", "relates_to"), ("a", "gone", "is_a"), ("x", "a", "tests_concept"), ("x", "x", "tests_concept"), ("x", "a2", "tests_concept")])
