@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from lectern.config import Settings, expanded, load_env
@@ -28,6 +29,18 @@ def test_fold_properties(spark):
     assert [(r.id, r.definition, r.examples, r.importance) for r in got.collect()] == [("a", "longer one", ["p", "q", "r"], "imp")]
 
 
+def test_fold_equals_sql_for_large_ids_and_empty_texts(spark, tmp_path):
+    from lectern.plans import QUERIES, SQL
+
+    rows = [(0, "a b c first"), (2, "a b c second"), (5_000_000_002, "a b c the longest one"), (3_000_000_000_004, "d e f one"), (9_000_000_000_006, "d e f much longer"), (8, ""), (10, "")]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.execute(f"SELECT id, label, name, ord, definition_md5, importance FROM ({SQL['property_fold_longest']})").fetchall()
+    got = QUERIES["property_fold_longest"](spark, str(tmp_path)).select("id", "label", "name", "ord", "definition_md5", "importance")
+    assert len(expected) == 4 and sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 
 def test_dedup_nodes_works_out_names_and_ids_once(spark):
     n = spark.createDataFrame([("a", "Concept", "Force", 1), ("b", "Concept", "force", 2), ("b", "Skill", "push", 3), (None, "Concept", "lost", 4)], "id string, label string, name string, ord int")
