@@ -21,6 +21,8 @@ from lectern.llm.tables import drop, free, small_batches, stored
 TRAIN_ROWS, TRAIN_FEATURES = 6_000, 4_000_000
 BUCKETS = 1 << 14
 STEPS = 300
+#: Features that the driver handles at once.
+BLOCK = 1 << 18
 LEARNING = 0.5
 RIDGE = 1e-4
 #: Words without any evidence that each text counts as having besides its own, so that two or three words decide little.
@@ -161,14 +163,30 @@ def _training(batches):
 
 
 def regress(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.ndarray, bias: float) -> np.ndarray:
-    """Weights of the buckets by logistic regression on soft targets, gradient steps with momentum; the bias is given."""
+    """Weights of the buckets by logistic regression on soft targets, gradient steps with momentum; the bias is given.
+
+    row is sorted. Features are taken in blocks of whole rows, so that beside them the driver holds little.
+    """
     weights, speed = np.zeros(BUCKETS), np.zeros(BUCKETS)
     n = max(1, len(target))
-    square = np.bincount(bucket, weights=value * value, minlength=BUCKETS) / n
-    rate = LEARNING / (square + 1e-3)
+    cuts = np.unique(np.searchsorted(row, row[np.arange(0, len(row), BLOCK)])) if len(row) else np.zeros(0, np.int64)
+    blocks = [slice(a, b) for a, b in zip(cuts, [*cuts[1:], len(row)], strict=True)]
+
+    def total(each) -> np.ndarray:
+        out = np.zeros(BUCKETS)
+        for at in blocks:
+            out += np.bincount(bucket[at], weights=each(at, value[at].astype(np.float64)), minlength=BUCKETS)
+        return out
+
+    def slope(at: slice, v: np.ndarray) -> np.ndarray:
+        r = row[at] - row[at.start]
+        margin = np.bincount(r, weights=weights[bucket[at]] * v) + bias
+        p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+        return (p - target[row[at.start] : row[at.start] + len(p)])[r] * v
+
+    rate = LEARNING / (total(lambda at, v: v * v) / n + 1e-3)
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=weights[bucket] * value, minlength=len(target)) + bias, -30, 30)))
-        step = np.bincount(bucket, weights=(p - target)[row] * value, minlength=BUCKETS) / n + RIDGE * weights
+        step = total(slope) / n + RIDGE * weights
         speed = 0.8 * speed - rate * step * 0.05
         weights = weights + speed
     return weights
@@ -201,10 +219,12 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict:
         sample = got.where(F.col("h") <= sizes[min(fits, len(sizes)) - 1][0]).toArrow().combine_chunks().sort_by("h")
         lists, values = (sample.column(c).combine_chunks() for c in ("bucket", "value"))
         target = good[np.searchsorted(code, sample.column("pattern").to_numpy())]
-        row = np.repeat(np.arange(len(sample)), np.diff(lists.offsets.to_numpy()))
+        row = np.repeat(np.arange(len(sample), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
         # without evidence a text is as likely good as the corpus is
         model["bias"] = float(np.log(share / (1 - share)))
-        model["weights"] = regress(row, lists.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float64), target, model["bias"])
+        model["weights"] = regress(row, lists.flatten().to_numpy(), values.flatten().to_numpy(), target, model["bias"])
+        del sample, lists, values, row
+        pa.default_memory_pool().release_unused()
         drop(got)
     drop(distinct)
     return model

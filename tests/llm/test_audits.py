@@ -209,3 +209,21 @@ def test_large_integers_are_exact():
     x = np.array([[exponion.MOST, 3], [1, 2]], np.int64)
     c = np.array([[-exponion.MOST, 2], [1, 2]], np.int64)
     assert exponion.squared(x, c).tolist() == [[(2 * exponion.MOST) ** 2 + 1, (exponion.MOST - 1) ** 2 + 1], [(1 + exponion.MOST) ** 2, 0]]
+
+
+def test_regression_takes_features_in_blocks(monkeypatch):
+    import tracemalloc
+
+    from lectern.llm import quality as Q
+
+    monkeypatch.setattr(Q, "STEPS", 2)
+    rng = np.random.default_rng(3)
+    row, bucket = np.sort(rng.integers(0, 3_000, 2_000_000)).astype(np.int32), rng.integers(0, Q.BUCKETS, 2_000_000).astype(np.int32)
+    value, target = (rng.random(2_000_000) / 600).astype(np.float32), rng.random(3_000)
+    tracemalloc.start()
+    got = Q.regress(row, bucket, value, target, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6
+    monkeypatch.setattr(Q, "BLOCK", len(row), raising=False)
+    assert np.abs(got - Q.regress(row, bucket, value, target, 0.5)).max() < 1e-12
